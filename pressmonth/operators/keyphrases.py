@@ -173,7 +173,7 @@ def keyphrase_candidates(features: DataFrame) -> DataFrame:
         F.min(F.struct("sentence", "place", "p.phrase")).alias("first"),
     )
     # Rounded, so that phrases of equal score tie on every platform and the tie is broken by position.
-    score = F.round(F.col("product") / (F.col("tf") * (1 + F.col("total"))), 9)
+    score = F.round(F.col("product") / (F.col("tf") * (1 + F.col("total"))), 6)
     return grouped.select(
         ID, "phrase_key", F.col("first.phrase").alias("phrase"), score.alias("phrase_score"),
         F.col("first.sentence").alias("sentence"), F.col("first.place").alias("place"), "tf",

@@ -189,7 +189,7 @@ def resolve_batch(keyword_stats: DataFrame, requests: DataFrame, fuzzy: bool = T
 
 def resolve_keyword_fuzzy(keyword_stats: DataFrame, query: str) -> DataFrame:
     """Best substring match of one normalised query in every month (no join: the query is a constant)."""
-    inside = F.locate(F.col("normalized_keyword"), F.lit(query)) > 0
+    inside = F.contains(F.lit(query), F.col("normalized_keyword"))
     around = F.contains(F.col("normalized_keyword"), F.lit(query))
     rank = F.row_number().over(Window.partitionBy("month_start").orderBy(
         F.when(inside, 0).otherwise(1), F.desc("news_count"), F.desc("total_occurrences"),
