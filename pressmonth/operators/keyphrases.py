@@ -205,14 +205,19 @@ def best_phrases(candidates: DataFrame, limit: int = 12) -> DataFrame:
     )
 
 
+def by_article(documents: DataFrame) -> DataFrame:
+    """Texts hash partitioned by article.  The count is explicit, because the tokens outgrow the texts that
+    a coalescing of small partitions would go by."""
+    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return documents.select(ID, "document").repartition(partitions, ID)
+
+
 def keyphrase_hits(
     documents: DataFrame, max_keyphrases: int = 12, min_chars: int = 4, stopwords: tuple[str, ...] = STOPWORDS
 ) -> DataFrame:
     """Keyphrase hits: score inverted so that higher is better, occurrences counted in the whole text."""
-    # An explicit count, because the tokens outgrow the texts that a coalescing would go by.
-    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_id = documents.select(ID, "document").repartition(partitions, ID)
-    best = best_phrases(keyphrase_candidates(term_features(tokens(by_id, stopwords))), max_keyphrases)
+    features = term_features(tokens(by_article(documents), stopwords))
+    best = best_phrases(keyphrase_candidates(features), max_keyphrases)
     found = (
         best.filter(F.length("normalized") >= min_chars)
         .groupBy(ID, "normalized").agg(F.min(F.struct("rank", "phrase", "phrase_score")).alias("best"))

@@ -16,6 +16,7 @@ from ..operators.upsert import upsert
 from ..sources import dictionary as dic
 from ..sources.generated import NOW, news, table
 from . import reports
+from .lineage import computed_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,7 +47,8 @@ def query(function: Query) -> Query:
 
 
 def _documents(spark, sf):
-    return hits.to_documents(news(spark, sf, "id", "noticia_hash", "fuente", "titulo", "texto_completo", "fecha_publicacion"))
+    columns = ("id", "noticia_hash", "fuente", "titulo", "texto_completo", "fecha_publicacion")
+    return hits.to_documents(news(spark, sf, *columns))
 
 
 def _hits(spark, sf):
@@ -61,22 +63,24 @@ def _dictionary(spark):
     return config().dictionary_df(spark)
 
 
-def _keyword_stats(spark, sf):
-    return stats.monthly_keyword_stats(_hits(spark, sf), _dictionary(spark))
+def _keyword_stats(spark, sf, found=None):
+    return stats.monthly_keyword_stats(_hits(spark, sf) if found is None else found, _dictionary(spark))
 
 
-def _source_keywords(spark, sf):
-    return stats.source_keyword_stats(_hits(spark, sf))
+def _source_keywords(spark, sf, found=None):
+    """Read by a summary and by a ranking in most queries, so computed once."""
+    return computed_once(stats.source_keyword_stats(_hits(spark, sf) if found is None else found))
 
 
-def _source_stats(spark, sf):
-    return stats.source_monthly_stats(_dated(spark, sf), _source_keywords(spark, sf))
+def _source_stats(spark, sf, found=None):
+    return stats.source_monthly_stats(_dated(spark, sf), _source_keywords(spark, sf, found))
 
 
 def _overview(spark, sf):
-    return stats.monthly_overview(
-        _dated(spark, sf), _hits(spark, sf), _keyword_stats(spark, sf), _source_stats(spark, sf)
-    )
+    """The texts are analysed once; the hits and the keyword statistics feed several branches each."""
+    found = computed_once(_hits(spark, sf))
+    keywords = computed_once(_keyword_stats(spark, sf, found))
+    return stats.monthly_overview(_dated(spark, sf), found, keywords, _source_stats(spark, sf, found))
 
 
 def _totals(spark, sf):
@@ -95,8 +99,9 @@ def _aliases(spark, sf):
     )
 
 
-def _topic(spark, sf):
-    return reports.topic_rows(_hits(spark, sf), news(spark, sf, "id", "fecha_publicacion"), TOPIC)
+def _topic(spark, sf, found=None):
+    found = _hits(spark, sf) if found is None else found
+    return reports.topic_rows(found, news(spark, sf, "id", "fecha_publicacion"), TOPIC)
 
 
 def _flat(rows, *columns):
@@ -238,7 +243,7 @@ def dictionary_sync(spark, sf):
 
 @query
 def reset_month(spark, sf):
-    return _source_keywords(spark, sf).filter(F.col("month_start") != F.lit(MONTH)).groupBy("month_start").agg(
+    return stats.source_keyword_stats(_hits(spark, sf)).filter(F.col("month_start") != F.lit(MONTH)).groupBy("month_start").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("news_count").alias("news_count")
     )
 
@@ -394,7 +399,7 @@ def daily_activity(spark, sf):
 
 @query
 def source_keyword_stats(spark, sf):
-    rows = _source_keywords(spark, sf)
+    rows = stats.source_keyword_stats(_hits(spark, sf))
     return _flat(rows, *rows.columns)
 
 
@@ -464,13 +469,14 @@ def topic_news_recent(spark, sf):
 
 @query
 def topic_news_by_source(spark, sf):
-    sources = reports.topic_sources(_source_keywords(spark, sf), _aliases(spark, sf), TOPIC)
-    return reports.topic_news(reports.of_source(_topic(spark, sf), sources, SOURCE_KEY))
+    found = computed_once(_hits(spark, sf))
+    sources = reports.topic_sources(stats.source_keyword_stats(found), _aliases(spark, sf), TOPIC)
+    return reports.topic_news(reports.of_source(_topic(spark, sf, found), sources, SOURCE_KEY))
 
 
 @query
 def keyword_fallback(spark, sf):
-    return reports.keyword_fallback(_source_keywords(spark, sf))
+    return reports.keyword_fallback(stats.source_keyword_stats(_hits(spark, sf)))
 
 
 @query
@@ -497,7 +503,7 @@ def run_summary(spark, sf):
 
 @query
 def source_top_keywords(spark, sf):
-    return stats.source_top_keywords(_source_keywords(spark, sf))
+    return stats.source_top_keywords(stats.source_keyword_stats(_hits(spark, sf)))
 
 
 @query
@@ -529,7 +535,7 @@ def keyword_weights(spark, sf):
 
 @query
 def topic_sources(spark, sf):
-    return reports.topic_sources(_source_keywords(spark, sf), _aliases(spark, sf), TOPIC)
+    return reports.topic_sources(stats.source_keyword_stats(_hits(spark, sf)), _aliases(spark, sf), TOPIC)
 
 
 @query
@@ -545,7 +551,7 @@ def resolve_keyword_fuzzy(spark, sf):
 @query
 def resolve_keyword_batch(spark, sf):
     """Several typed topics in every month: exact, else by substring, else the text itself."""
-    rows = _keyword_stats(spark, sf)
+    rows = computed_once(_keyword_stats(spark, sf))
     asked = rows.select("month_start").distinct().select(
         "month_start", F.explode(F.array(*map(F.lit, REQUESTS))).alias("query")
     )
@@ -640,8 +646,7 @@ def entity_hits(spark, sf):
 
 
 def _features(spark, sf):
-    documents = _documents(spark, sf).select("raw_noticia_id", "document")
-    return keyphrases.term_features(keyphrases.tokens(documents.repartition("raw_noticia_id")))
+    return keyphrases.term_features(keyphrases.tokens(keyphrases.by_article(_documents(spark, sf))))
 
 
 @query
@@ -740,22 +745,22 @@ def domain_violations(spark, sf):
 
 @query
 def month_over_month(spark, sf):
-    return trends.month_over_month(_keyword_stats(spark, sf))
+    return trends.month_over_month(computed_once(_keyword_stats(spark, sf)))
 
 
 @query
 def emerging_topics(spark, sf):
-    return trends.emerging_topics(trends.month_over_month(_keyword_stats(spark, sf)))
+    return trends.emerging_topics(trends.month_over_month(computed_once(_keyword_stats(spark, sf))))
 
 
 @query
 def falling_topics(spark, sf):
-    return trends.falling_topics(trends.month_over_month(_keyword_stats(spark, sf)))
+    return trends.falling_topics(trends.month_over_month(computed_once(_keyword_stats(spark, sf))))
 
 
 @query
 def source_topic_heatmap(spark, sf):
-    return trends.source_topic_heatmap(_source_keywords(spark, sf), ["thtion", "attion", "the the"])
+    return trends.source_topic_heatmap(stats.source_keyword_stats(_hits(spark, sf)), ["thtion", "attion", "the the"])
 
 
 @query
@@ -765,12 +770,12 @@ def dominant_categories(spark, sf):
 
 @query
 def related_keywords(spark, sf):
-    return trends.related_keywords(_hits(spark, sf), TOPIC)
+    return trends.related_keywords(computed_once(_hits(spark, sf)), TOPIC)
 
 
 @query
 def keyword_daily(spark, sf):
-    return trends.keyword_daily(reports.topic_daily(_topic(spark, sf)))
+    return trends.keyword_daily(computed_once(reports.topic_daily(_topic(spark, sf))))
 
 
 @query

@@ -12,12 +12,14 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.lineage import spread
 from ..schemas import NEWS_COLUMNS
 
 # A clock inside the generated event stream: 48 hours back selects a proper part of the articles.
 NOW = dt.datetime(2024, 1, 4)
 SYNC_DELAY_HOURS = 6
 
+FROM_TEXT = ("titulo", "texto_completo")
 FROM_ORDERS = ("fecha_publicacion",)
 FROM_EVENTS = ("fecha_extraccion", "synced_at")
 FROM_EMBEDDINGS = ("embedding",)
@@ -31,6 +33,8 @@ def news(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """News rows with the given columns (all of them by default)."""
     wanted = columns or tuple(NEWS_COLUMNS)
     articles = table(spark, sf_dir, "documents")
+    if set(wanted) & set(FROM_TEXT):
+        articles = spread(articles)
     if set(wanted) & set(FROM_ORDERS):
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
         articles = articles.join(orders, F.col("doc_id") == F.col("o_orderkey"), "left")
