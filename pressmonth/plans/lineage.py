@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame
 def computed_once(rows: DataFrame) -> DataFrame:
     """``rows`` as a reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where no folder is set at all (tests, a single machine) one is made.
+    A folder of its own is made only on a single machine that names none (tests).  A cluster without one
+    gets the plain rows back: they are computed again where needed, never parked on a local disk.
     """
     context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         configured = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if configured is None and not context.master.startswith("local"):
+            return rows
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="pressmonth-"))
     return rows.checkpoint()
 

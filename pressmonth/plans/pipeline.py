@@ -102,7 +102,7 @@ def run_detect(
     with processing_run(store, "detect", now, full, lookback_hours, f"detect affected periods by {mode}") as run:
         found = store.stage(
             run.run_id, "periods",
-            periods.affected_periods(store.read("raw_news"), mode, now, lookback_hours).coalesce(1),
+            periods.affected_periods(store.read("raw_news"), mode, now, lookback_hours),
         )
         total = periods.run_summary(found).first()
         run.rows_detected = total["rows_detected"]

@@ -70,7 +70,7 @@ class TableStore:
         shaped = self._shape(name, rows)
         done = self._snapshots(name)
         number = (done[-1] if done else 0) + 1
-        shaped.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{name}/snapshot={number}")
+        shaped.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/{name}/snapshot={number}")
         for old in done[: -(KEPT_SNAPSHOTS - 1)]:
             self._delete(f"{self.root}/{name}/snapshot={old}")
 

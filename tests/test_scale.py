@@ -109,3 +109,16 @@ def test_keyset_pages_cover_everything_once(spark):
         seen += [r.id for r in page]
         after = (page[-1].fecha_extraccion, page[-1].id)
     assert seen == list(range(25))
+
+
+def test_upstream_vectors_may_arrive_as_text(spark):
+    from pressmonth.sources.upstream import shaped
+
+    rows = spark.range(2).select(
+        F.col("id").cast("int"), *[F.lit("x").alias(c) for c in ("noticia_hash", "fuente", "url_original", "titulo",
+                                                                 "texto_completo", "url_imagen")],
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("fecha_publicacion"),
+        F.lit(None).cast("timestamp").alias("fecha_extraccion"),
+        F.when(F.col("id") == 0, "[0.5,1]").alias("embedding"),
+    )
+    assert [r.embedding for r in shaped(rows).orderBy("id").collect()] == [[0.5, 1.0], None]
