@@ -11,8 +11,9 @@ from ..functions.text import clean_text, normalize_text
 from ..schemas import ENTITY_LABELS
 from .matching import ARTICLE
 
-# Runs of capitalised words; the character before a run is consumed in place of a look-behind.
-CAPITALISED_RUN = r"(?:^|[^\p{L}\p{N}_])(\p{Lu}[\p{L}\p{N}]*(?: \p{Lu}[\p{L}\p{N}]*)*)"
+# Runs of capitalised words; the character before a run is consumed in place of a look-behind.  The
+# quantifiers are possessive: a run of any length is matched by a loop, not by recursion on the stack.
+CAPITALISED_RUN = r"(?:^|[^\p{L}\p{N}_])(\p{Lu}[\p{L}\p{N}]*+(?: \p{Lu}[\p{L}\p{N}]*+)*+)"
 
 Annotator = Callable[[list[str]], list[list[tuple[str, str]]]]
 

@@ -17,7 +17,8 @@ from .matching import ARTICLE, WORD
 ID = "raw_noticia_id"
 
 SENTENCE_END = r"[.!?…]+(?:\s+|$)"
-TOKEN = r"[\p{L}\p{N}_]+(?:['’-][\p{L}\p{N}_]+)*|[^\s\p{L}\p{N}_]"
+# possessive, so that a long chain of hyphens is matched by a loop and not on the stack
+TOKEN = r"[\p{L}\p{N}_]++(?:['’-][\p{L}\p{N}_]++)*+|[^\s\p{L}\p{N}_]"
 MAX_WORDS = 3
 DUPLICATE_SIMILARITY_TENTHS = 9  # two phrases at least this similar (in tenths) count as one
 MIN_STOPWORD_FREE = 3  # shorter words never open or close a phrase
@@ -163,8 +164,8 @@ def keyphrase_candidates(features: DataFrame) -> DataFrame:
         F.lead(token, 2).over(in_order).alias("next2"),
     )
     phrases = neighbours.select(
-        ID, "sentence", "place", F.explode(F.filter(_phrases(), lambda p: p.isNotNull())).alias("p")
-    )
+        ID, "sentence", "place", F.explode(_phrases()).alias("p")
+    ).filter(F.col("p").isNotNull())
     # product and total depend on the lower-cased phrase only; the first spelling is displayed
     grouped = phrases.groupBy(ID, F.col("p.phrase_key").alias("phrase_key")).agg(
         F.count(F.lit(1)).alias("tf"),

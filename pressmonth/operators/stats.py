@@ -25,8 +25,9 @@ def daily_activity(news: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).cast("int").alias("news_count"))
 
 
-def _average_score() -> Column:
-    return F.avg("score").cast("decimal(12,6)").alias("avg_score")
+def _average(total: Column, count: Column) -> Column:
+    """Average of exact sums, rounded once (half up, like the stored decimal)."""
+    return F.try_divide(total, count).cast("decimal(12,6)").alias("avg_score")
 
 
 def source_keyword_stats(hits: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def source_keyword_stats(hits: DataFrame) -> DataFrame:
         F.max("keyword_type").alias("keyword_type"),
         F.count_distinct("raw_noticia_id").cast("int").alias("news_count"),
         F.sum("occurrences").cast("int").alias("total_occurrences"),
-        _average_score(),
+        _average(F.sum("score"), F.count("score")),
     )
 
 
@@ -82,8 +83,7 @@ def monthly_keyword_stats(hits: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("extractors")))).alias("extractor_sources"),
         F.sum("news_count").cast("int").alias("news_count"),
         F.sum("occurrences").cast("int").alias("total_occurrences"),
-        # exact sums, one rounding: half up like the stored decimal
-        F.try_divide(F.sum("score_sum"), F.sum("score_count")).cast("decimal(12,6)").alias("avg_score"),
+        _average(F.sum("score_sum"), F.sum("score_count")),
         F.count(F.lit(1)).cast("int").alias("source_media_count"),
         F.map_from_entries(F.collect_list(
             F.when(F.col("source_media").isNotNull(), F.struct("source_media", "news_count"))
@@ -164,9 +164,13 @@ def source_ranking(source_stats: DataFrame) -> DataFrame:
 
 
 def monthly_overview(
-    news: DataFrame, hits: DataFrame, keyword_stats: DataFrame, source_stats: DataFrame
+    news: DataFrame, hits: DataFrame, keyword_stats: DataFrame, source_stats: DataFrame,
+    months: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per month with articles: totals, date range, top-20 keywords and the ranked source list."""
+    """One row per month: totals, date range, top-20 keywords and the ranked source list.
+
+    ``months`` asks for certain months, which are reported even without a single article.
+    """
     totals = published(news).groupBy("month_start").agg(
         F.count(F.lit(1)).cast("int").alias("total_news"),
         F.count_distinct("fuente").cast("int").alias("active_source_count"),
@@ -183,13 +187,13 @@ def monthly_overview(
     sources = source_ranking(source_stats).groupBy("month_start").agg(
         _ordered_list("source_media", "news_count", "distinct_keywords").alias("source_stats")
     )
-    joined = totals
+    joined = totals if months is None else months.select("month_start").distinct().join(totals, "month_start", "left")
     for part in (covered, keywords, top, sources):
         joined = joined.join(part, "month_start", "left")
     return joined.select(
-        "month_start", "total_news",
+        "month_start", F.coalesce("total_news", F.lit(0)).alias("total_news"),
         F.coalesce("news_with_keywords", F.lit(0)).alias("news_with_keywords"),
-        "active_source_count",
+        F.coalesce("active_source_count", F.lit(0)).alias("active_source_count"),
         F.coalesce("keyword_count", F.lit(0)).alias("keyword_count"),
         _or_empty("top_keywords", "keyword:string,type:string,news_count:int,total_occurrences:int"),
         _or_empty("source_stats", "source_media:string,news_count:int,distinct_keywords:int"),

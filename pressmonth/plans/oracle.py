@@ -47,6 +47,12 @@ def counted(marked_document: str, marked_alias: str) -> str:
     return f"((length({marked_document}) - {rest}) // length({marked_alias}))"
 
 
+def average(score: str) -> str:
+    """Exact average of six-digit decimals, rounded half up: in millionths, as integers."""
+    total = f"sum(CAST(round({score} * 1000000) AS BIGINT))"
+    return f"CAST((2 * {total} + count({score})) // (2 * count({score})) AS BIGINT) / 1000000"
+
+
 ENTRIES = rows(*[
     (e["position"], e["canonical"], e["normalized"], e["keyword_type"], e["category"], e["priority"], e["enabled"])
     for e in CONFIG.entries
@@ -132,18 +138,18 @@ CTES: dict[str, str] = {
         FROM {source}
         GROUP BY raw_noticia_id, noticia_hash, month_start, source_media, normalized_keyword, extractor_source""",
     "hits": "SELECT * FROM merged WHERE normalized_keyword NOT IN (SELECT normalized_keyword FROM omitted)",
-    "skeys": """
+    "skeys": f"""
         SELECT month_start, source_media, coalesce(max(canonical_keyword), min(keyword)) AS keyword,
                normalized_keyword, max(canonical_keyword) AS canonical_keyword,
                max(normalized_canonical_keyword) AS normalized_canonical_keyword, max(keyword_type) AS keyword_type,
                CAST(count(DISTINCT raw_noticia_id) AS INT) AS news_count,
-               CAST(sum(occurrences) AS INT) AS total_occurrences, round(avg(score), 6) AS avg_score
+               CAST(sum(occurrences) AS INT) AS total_occurrences, {average('score')} AS avg_score
         FROM hits GROUP BY month_start, source_media, normalized_keyword""",
     "kmedia": """
         SELECT month_start, normalized_keyword, source_media,
                CAST(count(DISTINCT raw_noticia_id) AS INT) AS media_news_count
         FROM hits GROUP BY ALL""",
-    "kstats": """
+    "kstats": f"""
         SELECT b.*, CAST(m.n AS INT) AS source_media_count FROM (
           SELECT h.month_start, min(h.keyword) AS keyword, h.normalized_keyword,
                  max(h.canonical_keyword) AS canonical_keyword,
@@ -151,7 +157,7 @@ CTES: dict[str, str] = {
                  max(h.keyword_type) AS keyword_type,
                  array_to_string(list_sort(list(DISTINCT h.extractor_source)), ',') AS extractors,
                  CAST(count(DISTINCT h.raw_noticia_id) AS INT) AS news_count,
-                 CAST(sum(h.occurrences) AS INT) AS total_occurrences, round(avg(h.score), 6) AS avg_score,
+                 CAST(sum(h.occurrences) AS INT) AS total_occurrences, {average('h.score')} AS avg_score,
                  CAST(coalesce(max(e.priority), 0) AS INT) AS priority
           FROM hits h LEFT JOIN entries e ON e.normalized = coalesce(h.normalized_canonical_keyword, h.normalized_keyword)
           GROUP BY h.month_start, h.normalized_keyword) b

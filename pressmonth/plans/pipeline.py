@@ -222,8 +222,9 @@ def build_months(store: TableStore, months: list[dt.date]) -> None:
     store.replace_months(
         "source_monthly_stats", stats.source_monthly_stats(news, current("source_keyword_stats")), months
     )
+    asked = store.spark.createDataFrame([(m,) for m in months], "month_start date")
     store.replace_months("monthly_overview", stats.monthly_overview(
-        news, hits, current("monthly_keyword_stats"), current("source_monthly_stats")
+        news, hits, current("monthly_keyword_stats"), current("source_monthly_stats"), asked
     ), months)
 
 

@@ -198,3 +198,11 @@ def test_totals_agree_between_tables(store, upstream, two_articles, config):
     row = store.read("monthly_keyword_stats").filter("normalized_keyword = 'paro docente'").first()
     assert row.source_media_stats == {"Fuente A": 1, "Fuente B": 1} and row.priority == 8
     assert stats.daily_activity(store.read("raw_news")).count() == 2
+
+
+def test_a_requested_month_without_articles_is_reported_empty(store, upstream, two_articles):
+    pipeline.run_sync(store, upstream(*two_articles), NOW)
+    assert pipeline.run_build(store, NOW, period=dt.date(2020, 2, 1)) == 1
+    row = store.read("monthly_overview").first()
+    assert (row.month_start, row.total_news, row.top_keywords) == (dt.date(2020, 2, 1), 0, [])
+    assert reports.month_list(store.read("monthly_overview")).count() == 0

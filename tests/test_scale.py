@@ -122,3 +122,14 @@ def test_upstream_vectors_may_arrive_as_text(spark):
         F.when(F.col("id") == 0, "[0.5,1]").alias("embedding"),
     )
     assert [r.embedding for r in shaped(rows).orderBy("id").collect()] == [[0.5, 1.0], None]
+
+
+@pytest.mark.parametrize("text", ["Abc " * 40000, "-".join(["abc"] * 40000), "a. " * 40000])
+def test_extreme_texts_are_matched_without_recursion(spark, text):
+    from test_hits import documents
+
+    from pressmonth.operators import entities, keyphrases
+
+    docs = documents(spark, text)
+    assert entities.entity_hits(docs).count() <= 1
+    assert keyphrases.keyphrase_hits(docs).count() <= 12
