@@ -215,7 +215,6 @@ def templates(pages: DataFrame, html: str, min_pages: int, min_share: float) ->
                 seen: Counter = Counter()
                 for host, page in zip(piece.column("__host").to_pylist(), piece.column(html).to_pylist()):
                     seen.update((host, h) for h in set(hash_subtrees(parse(page or ""))))
-                    seen[(host, None)] += 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([h for h, _ in seen], pa.string()), pa.array([s for _, s in seen], pa.int64()),
                      pa.array(list(seen.values()), pa.int64())],
@@ -226,9 +225,9 @@ def templates(pages: DataFrame, html: str, min_pages: int, min_share: float) ->
         pages.select("__host", html).mapInArrow(run, "__host string, subtree bigint, pages bigint")
         .groupBy("__host", "subtree").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= min_pages)
     )
-    sizes = counted.where("subtree is null").select("__host", F.col("pages").alias("all_pages"))
+    sizes = pages.groupBy("__host").agg(F.count("*").alias("all_pages"))
     return (
-        counted.where("subtree is not null").join(sizes, "__host").where(F.col("pages") >= F.col("all_pages") * min_share)
+        counted.join(sizes, "__host").where(F.col("pages") >= F.col("all_pages") * min_share)
         .groupBy("__host").agg(F.collect_set("subtree").alias("__template"))
     )
 
