@@ -29,6 +29,7 @@ from pressmonth.llm.arrays import slices
 from pressmonth.llm.staging import widened
 
 MIN_PAGES, MIN_SHARE = 5, 0.02
+SALTS = 64
 
 # Names of the HTML standard, and usual names of page parts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -259,5 +260,8 @@ def extract(
                     schema.names,
                 )
 
-    joined = hosted.join(templates(hosted, html, min_pages, min_share), "__host", "left")
+    # the few rows of a host's template are repeated, so that a hot host's pages are dealt over SALTS tasks
+    salted = hosted.withColumn("__salt", F.pmod(F.xxhash64(url, html), F.lit(SALTS)))
+    found = templates(hosted, html, min_pages, min_share).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    joined = salted.join(found, ["__host", "__salt"], "left")
     return joined.select(*kept, html, "__host", "__template").mapInArrow(run, schema)
