@@ -8,9 +8,10 @@ give candidates.  With 5 coordinates a band and 48 bands, a pair at similarity 0
 (1 - 0.75^5)^48 < 3e-6; pairs above it less.
 
 Texts with the same words in the same order form a class first (only ids and digests are grouped), and its least id
-stands for it.  Within a bucket of equal band keys no list of all pairs is made: members are compared with the first
-pivots only, links merge components, and a bucket goes on to further pivots only while its members belong to different
-components.  So every candidate pair is either compared on full sets or known to be connected already.
+stands for it.  Within a bucket of equal band keys no list of all pairs is made.  First every member is compared with
+the bucket's least id, and links merge components.  Where the other members still belong to different components, the
+bucket is cut into blocks of bounded size and the blocks are compared inside tasks, which give links only.  So every
+candidate pair is either compared on full sets or known to be connected already, however large a bucket is.
 
 Null texts and texts without words are linked with nothing.  Rows that share an id are one node.  A null id gets a
 null component and is kept.  Empty tables give no rows.  Only the id is carried, so no other column can clash.
@@ -23,7 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressmonth.llm.arrays import lowered, mix, shingles, slices, text_bytes, words
@@ -31,6 +32,7 @@ from pressmonth.llm.staging import staged, widened
 
 BANDS, BAND_ROWS = 48, 5
 SHINGLE_WORDS = 5
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 400_000  # of a block of a bucket whose members must be compared among themselves
 PERCENT = 75  # links have 100 * intersection >= PERCENT * union
 _OPEN = np.uint64(2**64 - 1)
 
@@ -140,6 +142,71 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(id, hashes): the 64-bit hashes of each text's set."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch):
+                data, offsets = text_bytes(piece.column("text"))
+                row, values = shingles(words(lowered(data), offsets), SHINGLE_WORDS)
+                ends = np.searchsorted(row, np.arange(piece.num_rows + 1))
+                sets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([piece.column("id"), sets], ["id", "hashes"])
+
+    return texts.mapInArrow(run, widened(texts.select("id").schema, hashes="array<bigint>"))
+
+
+def blockwise(entries: DataFrame, rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of a bucket whose components differ; ``entries`` has (key, id, component).
+
+    A bucket is cut into blocks of bounded size and every two blocks meet in one task, so only links leave it.  A
+    pair that shares several buckets is compared in that of its first common band.
+    """
+    wanted = entries.select("id").distinct()
+    sets = staged(
+        rows.join(wanted, "id").select("id", "bands", "n_shingles").dropDuplicates(["id"])
+        .join(shingle_sets(texts.join(wanted, "id", "left_semi")), "id")
+    )
+    sizes = entries.join(sets.select("id", "n_shingles"), "id").groupBy("key").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    )
+    dealt = (
+        entries.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("key", "id", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        .join(sets.drop("n_shingles"), "id")
+    )
+    id_type = entries.schema["id"].dataType.simpleString()
+
+    def compare(place: tuple, members: pa.Table) -> pa.Table:
+        ids = members.column("id").to_pylist()
+        component = members.column("component").to_numpy()
+        block = members.column("block").to_numpy()
+        bands = np.stack(members.column("bands").to_numpy())
+        sets_ = [set(h.tolist()) for h in members.column("hashes").to_numpy()]
+        size = np.array([len(h) for h in sets_])
+        # hashes of (band, key) as the bucket has them are not kept: the bucket's band is the one all members share
+        band = int(np.flatnonzero((bands == bands[0]).all(axis=0))[0])
+        i, j = place[1].as_py(), place[2].as_py()
+        found_a, found_b = [], []
+        for x in range(len(ids)):
+            if i != j and block[x] != i:
+                continue
+            maybe = (component != component[x]) & (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x]))
+            maybe &= block == j if i != j else np.arange(len(ids)) > x
+            maybe &= ~(bands[:, :band] == bands[x, :band]).any(axis=1)
+            for y in np.flatnonzero(maybe).tolist():
+                shared = len(sets_[x] & sets_[y])
+                if 100 * shared >= percent * (size[x] + size[y] - shared):
+                    found_a.append(min(ids[x], ids[y]))
+                    found_b.append(max(ids[x], ids[y]))
+        kind = members.schema.field("id").type
+        return pa.table({"a": pa.array(found_a, kind), "b": pa.array(found_b, kind)})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(compare, f"a {id_type}, b {id_type}")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, bands: int = BANDS, width: int = BAND_ROWS
 ) -> DataFrame:
@@ -159,24 +226,18 @@ def near_duplicates(
     texts = staged(
         docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(buckets.select("id").distinct(), "id", "left_semi")
     )
-    labels, first, last = None, 0, 1  # pivots first + 1 .. last of each bucket, by id
-    while True:
-        here = buckets.withColumn("component", F.col("id"))
-        if labels is not None:
-            here = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-            mixed = here.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-            here = staged(here.join(mixed.select("key"), "key"))
-        order = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        pivots = here.withColumn("n", order).where(F.col("n") <= last).where(F.col("n") > first).select(
-            "key", F.col("id").alias("a"), F.col("component").alias("of_a")
-        )
-        pairs = here.join(pivots, "key").where("id > a and component <> of_a").select("a", F.col("id").alias("b")).distinct()
-        if pivots.isEmpty():
-            break
-        links = staged(links.unionByName(verified(pairs, texts, percent)))
-        labels = staged(components(links))
-        first, last = last, last * 8
-    reach = labels if labels is not None else components(links)
+    lows = buckets.groupBy("key").agg(F.min("id").alias("a"))
+    pairs = buckets.join(lows, "key").where("id > a").select("a", F.col("id").alias("b")).distinct()
+    links = staged(links.unionByName(verified(pairs, texts, percent)))
+    labels = staged(components(links))
+    # what is left: pairs of other members whose components differ
+    rest = buckets.join(lows, "key").where("id > a").join(labels, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component")
+    )
+    mixed = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    rest = staged(rest.join(mixed, "key"))
+    more = staged(blockwise(rest, rows, texts, percent))
+    reach = components(links.unionByName(more))
     best = members.groupBy("id").agg(F.min("rep").alias("rep"))
     labelled = best.join(reach.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", F.least(F.coalesce("component", "rep"), "rep").alias("component_id")
