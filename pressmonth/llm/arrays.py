@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20  # texts of one numpy pass; a longer single text is a pass of its own
+SLICE_BYTES = 1 << 20  # texts of one numpy pass; a longer single text is a pass of its own
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _EMPTY = np.zeros(0, np.uint64)
@@ -30,7 +30,7 @@ def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
 def _power(base: int, length: int) -> np.ndarray:
     have = _powers.get(base, _EMPTY)
     if len(have) < length:
-        have = np.full(max(length, SLICE_BYTES // 4), base, np.uint64)
+        have = np.full(max(length, SLICE_BYTES), base, np.uint64)
         have[0] = 1
         np.cumprod(have, out=have)
         if length <= 2 * SLICE_BYTES:
@@ -61,6 +61,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         stop = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()  # workers are reused: what a batch took goes back
 
 
 @dataclass

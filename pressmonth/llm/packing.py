@@ -40,7 +40,7 @@ END_ID = 1
 SENTENCE_PENALTY = 4
 GRID_PENALTY = 24
 GRID = 32  # places offered inside a stretch of more than twice as many tokens without a sentence end
-CACHE_WORDS = 1_000_000  # bounds a worker's memory; forgotten words are tokenized again
+CACHE_WORDS = 250_000  # bounds a worker's memory; forgotten words are tokenized again
 
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed by the vocabulary
 _PLAIN = regex.compile(r"[\x21-\x7eÀ-ɏ]*")
@@ -228,7 +228,7 @@ def pack(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, with_ids: b
             return pa.RecordBatch.from_arrays(columns, schema.names)
 
         for batch in batches:
-            for piece in slices(batch, text, 8 << 20):
+            for piece in slices(batch, text, 3 << 20):
                 more, sizes, ends = coder.stream(piece.column(text))
                 new = piece.column(key)
                 keys = new if keys is None else pa.concat_arrays([keys, new])
