@@ -125,9 +125,9 @@ class Sample:
         lists = features.column("buckets").combine_chunks()
         counts = lists.value_lengths().to_numpy(zero_copy_only=False)
         buckets = lists.flatten().to_numpy()
-        shares = features.column("shares").combine_chunks().flatten().to_numpy().astype(np.float64)
+        shares = features.column("shares").combine_chunks().flatten().to_numpy()
         mean = np.bincount(buckets, shares, len(KINDS) * BUCKETS) / max(features.num_rows, 1)
-        scale = 1 / np.sqrt(mean + 1e-4)
+        scale = (1 / np.sqrt(mean + 1e-4)).astype(np.float32)
         return cls(buckets, shares * scale[buckets], np.append(0, np.cumsum(counts)), scale)
 
     def __len__(self) -> int:

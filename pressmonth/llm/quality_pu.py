@@ -27,7 +27,7 @@ from pressmonth.llm.arrays import slices, text_bytes
 from pressmonth.llm.features import LinearModel, Sample, descend, one_label, sample_features, sample_of, shuffled, sigmoid
 from pressmonth.llm.staging import widened
 
-SAMPLE_ROWS = 2000  # rows of each of the two samples
+SAMPLE_ROWS = 1200  # rows of each of the two samples
 KEEP = 0.3
 
 

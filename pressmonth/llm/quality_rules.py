@@ -23,7 +23,7 @@ from pressmonth.llm.arrays import Words, mix, slices, text_bytes, words
 from pressmonth.llm.features import LinearModel, Sample, descend, one_label, platt, sample_features, sample_of, shuffled, sigmoid
 from pressmonth.llm.staging import widened
 
-SAMPLE_ROWS = 1500  # labelled rows of each label that the classifier is fitted on
+SAMPLE_ROWS = 1200  # labelled rows of each label that the classifier is fitted on
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW_WORDS = 8
