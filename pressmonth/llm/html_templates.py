@@ -164,7 +164,8 @@ def main_text(root: Node, template: frozenset[int]) -> str:
         if text:
             blocks.append(text)
 
-    inside = roots != [root]
+    # words in line go with their block; what an article shares with another is content if it is prose
+    deletable = BLOCKS if roots == [root] else BLOCKS - PROSE
     for top in roots:
         stack: list[Node | str | None] = [top]
         while stack:
@@ -173,7 +174,7 @@ def main_text(root: Node, template: frozenset[int]) -> str:
                 flush()
             elif isinstance(item, str):
                 line.append(item)
-            elif item.dropped or (item is not top and item.hash in template and not (inside and item.tag in PROSE)):
+            elif item.dropped or (item.tag in deletable and item is not top and item.hash in template):
                 if item.tag in BLOCKS:
                     flush()
             else:

@@ -142,40 +142,46 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def shingle_sets(texts: DataFrame) -> DataFrame:
-    """(id, hashes): the 64-bit hashes of each text's set."""
+def full_sets(texts: DataFrame, bands: int, width: int) -> DataFrame:
+    """(id, n_shingles, bands, hashes): sketch and 64-bit shingle hashes of each row of ``texts`` (id, text)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch):
                 data, offsets = text_bytes(piece.column("text"))
                 row, values = shingles(words(lowered(data), offsets), SHINGLE_WORDS)
+                keys = band_keys(similarity_sketches(row, values, piece.num_rows, bands * width), bands, width)
                 ends = np.searchsorted(row, np.arange(piece.num_rows + 1))
-                sets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([piece.column("id"), sets], ["id", "hashes"])
+                lists = [
+                    pa.ListArray.from_arrays(pa.array(np.arange(piece.num_rows + 1) * bands, pa.int32()), pa.array(keys.view(np.int64).ravel())),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64))),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("id"), pa.array(np.diff(ends), pa.int64()), *lists], ["id", "n_shingles", "bands", "hashes"]
+                )
 
-    return texts.mapInArrow(run, widened(texts.select("id").schema, hashes="array<bigint>"))
+    schema = widened(texts.select("id").schema, n_shingles="bigint", bands="array<bigint>", hashes="array<bigint>")
+    return texts.mapInArrow(run, schema)
 
 
-def blockwise(entries: DataFrame, rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def blockwise(entries: DataFrame, texts: DataFrame, percent: int, bands: int, width: int) -> DataFrame:
     """Links (a, b) between members of a bucket whose components differ; ``entries`` has (key, id, component).
 
     A bucket is cut into blocks of bounded size and every two blocks meet in one task, so only links leave it.  A
     pair that shares several buckets is compared in that of its first common band.
     """
-    wanted = entries.select("id").distinct()
-    sets = staged(
-        rows.join(wanted, "id").select("id", "bands", "n_shingles").dropDuplicates(["id"])
-        .join(shingle_sets(texts.join(wanted, "id", "left_semi")), "id")
-    )
-    sizes = entries.join(sets.select("id", "n_shingles"), "id").groupBy("key").agg(
+    sets = staged(full_sets(texts.join(entries.select("id").distinct(), "id", "left_semi"), bands, width))
+    # an id on rows with different texts is a member with those of its rows that lie in the bucket
+    place = F.array_position(F.transform("bands", lambda b, i: F.xxhash64(i, b)), F.col("key")).cast("int") - 1
+    inside = entries.join(sets, "id").withColumn("band", place).where("band >= 0")
+    sizes = inside.groupBy("key").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
     dealt = (
         entries.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("key", "id", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-        .join(sets.drop("n_shingles"), "id")
+        .join(sets, "id").withColumn("band", place).where("band >= 0")
     )
     id_type = entries.schema["id"].dataType.simpleString()
 
@@ -186,8 +192,7 @@ def blockwise(entries: DataFrame, rows: DataFrame, texts: DataFrame, percent: in
         bands = np.stack(members.column("bands").to_numpy())
         sets_ = [set(h.tolist()) for h in members.column("hashes").to_numpy()]
         size = np.array([len(h) for h in sets_])
-        # hashes of (band, key) as the bucket has them are not kept: the bucket's band is the one all members share
-        band = int(np.flatnonzero((bands == bands[0]).all(axis=0))[0])
+        band = members.column("band")[0].as_py()
         i, j = place[1].as_py(), place[2].as_py()
         found_a, found_b = [], []
         for x in range(len(ids)):
@@ -236,7 +241,7 @@ def near_duplicates(
     )
     mixed = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     rest = staged(rest.join(mixed, "key"))
-    more = staged(blockwise(rest, rows, texts, percent))
+    more = staged(blockwise(rest, texts, percent, bands, width))
     reach = components(links.unionByName(more))
     best = members.groupBy("id").agg(F.min("rep").alias("rep"))
     labelled = best.join(reach.withColumnRenamed("id", "rep"), "rep", "left").select(
