@@ -61,7 +61,7 @@ def processing_run(
     try:
         yield run
     except Exception as error:
-        record("failed", True, str(error)[:2000])
+        record("failed", True, str(error))
         raise
     finally:
         store.drop_stage(run.run_id)
