@@ -183,20 +183,19 @@ def keyphrase_candidates(features: DataFrame) -> DataFrame:
 
 def best_phrases(candidates: DataFrame, limit: int = 12) -> DataFrame:
     """The ``limit`` best phrases per article, skipping near-duplicates of better ones."""
-    ranked = candidates.groupBy(ID).agg(
-        F.sort_array(F.collect_list(F.struct("phrase_score", "sentence", "place", "phrase"))).alias("ranked")
+    # Normalised once per candidate: inside the fold it would be done again for every comparison.
+    ranked = candidates.withColumn("normalized", normalize_text(F.col("phrase"))).groupBy(ID).agg(
+        F.sort_array(F.collect_list(F.struct("phrase_score", "sentence", "place", "phrase", "normalized"))).alias("ranked")
     )
 
     def choose(kept: Column, p: Column) -> Column:
-        normalized = normalize_text(p["phrase"])
-
         def near(q: Column) -> Column:
-            longest = F.greatest(F.length(normalized), F.length(q["normalized"]))
-            distance = F.levenshtein(normalized, q["normalized"])
+            longest = F.greatest(F.length(p["normalized"]), F.length(q["normalized"]))
+            distance = F.levenshtein(p["normalized"], q["normalized"])
             return distance * 10 < longest * (10 - DUPLICATE_SIMILARITY_TENTHS)
 
         chosen = F.struct(
-            p["phrase"].alias("phrase"), p["phrase_score"].alias("phrase_score"), normalized.alias("normalized")
+            p["phrase"].alias("phrase"), p["phrase_score"].alias("phrase_score"), p["normalized"].alias("normalized")
         )
         return F.when((F.size(kept) < limit) & ~F.exists(kept, near), F.array_append(kept, chosen)).otherwise(kept)
 

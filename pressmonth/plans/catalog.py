@@ -27,7 +27,6 @@ SOURCE_KEY = "fuente-2"
 # Requests of the batch resolution, asked in every month: exact, contained, containing and unknown ones.
 REQUESTS = ("thtion", "attion to", "the eriner thanea of", "hanedbl", "src", "zzz unknown", "and therhean is the")
 PAGE = (200, 100)  # rows, offset
-TEXT_HITS = ("dictionary", "entities")
 HIT_COLUMNS = (
     "raw_noticia_id", "keyword", "normalized_keyword", "canonical_keyword", "normalized_canonical_keyword",
     "keyword_type", "extractor_source", "score", "occurrences",
@@ -52,7 +51,7 @@ def _documents(spark, sf):
 
 
 def _hits(spark, sf):
-    return hits.news_keywords(_documents(spark, sf), config(), TEXT_HITS)
+    return hits.news_keywords(_documents(spark, sf), config())
 
 
 def _dated(spark, sf):
@@ -105,9 +104,9 @@ def _topic(spark, sf, found=None):
 
 
 def _flat(rows, *columns):
-    """Decimal scores as doubles, nested columns left out."""
+    """Scores as doubles of six digits, nested columns left out."""
     return rows.select(*[
-        F.col(c).cast("double").alias(c) if c in ("score", "avg_score") else F.col(c) for c in columns
+        F.round(F.col(c).cast("double"), 6).alias(c) if c in ("score", "avg_score") else F.col(c) for c in columns
     ])
 
 
@@ -200,7 +199,7 @@ def keyword_hits_upsert(spark, sf):
     recent = hits.to_documents(articles.filter(dates.since(F.col("fecha_extraccion"), NOW, 48)))
     key = ("raw_noticia_id", "normalized_keyword", "extractor_source")
     stored, new = (
-        _flat(hits.news_keywords(d, config(), ("dictionary",)), *HIT_COLUMNS) for d in (titles, recent)
+        _flat(hits.news_keywords(d, config()), *HIT_COLUMNS) for d in (titles, recent)
     )
     return upsert(stored, new, key)
 
@@ -251,7 +250,7 @@ def reset_month(spark, sf):
 @query
 def prune_omitted(spark, sf):
     """Stored hits (never filtered) without the omitted keywords of one month."""
-    stored = hits.merge_hits(hits.extracted_hits(_documents(spark, sf), config(), TEXT_HITS))
+    stored = hits.merge_hits(hits.extracted_hits(_documents(spark, sf), config()))
     return hits.prune_omitted(stored, config().omitted_df(spark), [MONTH]).select(
         "raw_noticia_id", "month_start", "normalized_keyword", "extractor_source", "occurrences"
     )
@@ -326,7 +325,7 @@ def select_month(spark, sf):
 
 @query
 def omit_filter(spark, sf):
-    found = hits.extracted_hits(_documents(spark, sf), config(), TEXT_HITS)
+    found = hits.extracted_hits(_documents(spark, sf), config())
     return _flat(hits.filter_omitted(found, config().omitted_df(spark)), *HIT_COLUMNS)
 
 
@@ -380,7 +379,7 @@ def dictionary_hits_by_join(spark, sf):
 @query
 def canonicalize_hits(spark, sf):
     documents = _documents(spark, sf)
-    found = hits.extracted_hits(documents, config(), TEXT_HITS)
+    found = hits.extracted_hits(documents, config())
     return _flat(hits.canonicalize_hits(found, hits.alias_lookup(documents, config())), *HIT_COLUMNS)
 
 
@@ -483,7 +482,7 @@ def keyword_fallback(spark, sf):
 def merged_hits(spark, sf):
     """Hits after the merge; without the canonicalisation before it several spellings would not meet."""
     documents = _documents(spark, sf)
-    found = hits.extracted_hits(documents, config(), TEXT_HITS)
+    found = hits.extracted_hits(documents, config())
     merged = hits.merge_hits(hits.canonicalize_hits(found, hits.alias_lookup(documents, config())))
     return _flat(merged, *HIT_COLUMNS)
 
@@ -560,7 +559,7 @@ def resolve_keyword_batch(spark, sf):
 
 @query
 def all_hits(spark, sf):
-    return _flat(hits.extracted_hits(_documents(spark, sf), config(), TEXT_HITS), *HIT_COLUMNS)
+    return _flat(hits.extracted_hits(_documents(spark, sf), config()), *HIT_COLUMNS)
 
 
 # --- scalar functions ---------------------------------------------------------------------------------

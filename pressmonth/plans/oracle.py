@@ -117,7 +117,7 @@ CTES: dict[str, str] = {
                min(place) AS hit_order
         FROM runs WHERE length(normalized) >= 3
         GROUP BY raw_noticia_id, noticia_hash, month_start, source_media, normalized""",
-    "all_hits": "SELECT * FROM dict_hits UNION ALL SELECT * FROM entity_hits",
+    "all_hits": "SELECT * FROM dict_hits UNION ALL SELECT * FROM entity_hits UNION ALL SELECT * FROM phrase_hits",
     "canonical": """
         SELECT h.raw_noticia_id, h.noticia_hash, h.month_start, h.source_media,
                coalesce(m.to_canonical, h.keyword) AS keyword,
@@ -171,7 +171,7 @@ CTES: dict[str, str] = {
         LEFT JOIN (SELECT month_start, source_media, sum(news_count) AS keyword_rows,
                           count(DISTINCT normalized_keyword) AS distinct_keywords FROM skeys GROUP BY ALL) k
           USING (month_start, source_media)""",
-    "stop": """
+    "source_top": """
         SELECT month_start, source_media, keyword, normalized_keyword, news_count, total_occurrences, CAST(rn AS INT) AS rn
         FROM (SELECT *, row_number() OVER (PARTITION BY month_start, source_media
                 ORDER BY news_count DESC, total_occurrences DESC, keyword, normalized_keyword) AS rn FROM skeys)
@@ -329,19 +329,32 @@ CTES: dict[str, str] = {
         FROM (SELECT raw_noticia_id, norm, arg_min(phrase, rank) AS phrase, arg_min(phrase_score, rank) AS phrase_score,
                      min(rank) AS rank FROM best WHERE length(norm) >= 4 GROUP BY raw_noticia_id, norm) b
         JOIN docs d USING (raw_noticia_id)""",
-    "three": "SELECT * FROM all_hits UNION ALL SELECT * FROM phrase_hits",
 }
-_CANONICAL, _MERGE = CTES.pop("canonical"), CTES.pop("merge")
-CTES["canon"] = _CANONICAL.format(source="all_hits")
-CTES["merged"] = _MERGE.format(source="canon")
-CTES["canon3"] = _CANONICAL.format(source="three")
-CTES["merged3"] = _MERGE.format(source="canon3")
+CTES["canon"] = CTES.pop("canonical").format(source="all_hits")
+CTES["merged"] = CTES.pop("merge").format(source="canon")
+# read by several branches of a query, so kept rather than computed in each
+MATERIALIZED = {"docs", "toks", "scored", "candidates", "ordered", "best", "hits", "hits_t"}
+# the same hits over the titles alone: every step of the chain once more under another name
+CHAIN = (
+    "cleaned", "normal", "docs", "name_counts", "dict_counts", "dict_hits", "found_runs", "runs", "entity_hits", "bodies",
+    "pieces", "toks", "terms", "articles", "rates", "scored", "pairs", "keyed", "follow", "grams", "phrases", "candidates",
+    "ordered", "picks", "best", "phrase_hits", "all_hits", "canon", "merged", "hits",
+)
 
 
 def _name(cte: str) -> str:
     return cte.split("(")[0]
 
 
+def _over_titles(text: str) -> str:
+    return re.sub(rf"\b(FROM|JOIN)(\s+)({'|'.join(CHAIN)})\b", r"\1\2\3_t", text)
+
+
+for _cte in [c for c in CTES if _name(c) in CHAIN]:
+    CTES[re.sub(r"^\w+", r"\g<0>_t", _cte)] = _over_titles(CTES[_cte])
+CTES["cleaned_t"] = CTES["cleaned"].replace(clean("texto_completo"), "''")
+
+
 def sql(select: str) -> str:
     """The query with the definitions it needs, in dependency order."""
     ordered: list[str] = []
@@ -358,12 +371,14 @@ def sql(select: str) -> str:
     if not ordered:
         return select
     recursive = "RECURSIVE " if any("(" in c for c in ordered) else ""
-    return f"WITH {recursive}" + ",\n".join(f"{c} AS ({CTES[c]})" for c in ordered) + f"\n{select}"
+    return f"WITH {recursive}" + ",\n".join(
+        f"{c} AS {'MATERIALIZED ' if c in MATERIALIZED else ''}({CTES[c]})" for c in ordered
+    ) + f"\n{select}"
 
 
 HIT = (
     "raw_noticia_id, keyword, normalized_keyword, canonical_keyword, normalized_canonical_keyword, keyword_type, "
-    "extractor_source, score, occurrences"
+    "extractor_source, round(score, 6) AS score, occurrences"
 )
 IN_MONTH = f"fecha_publicacion >= DATE '{MONTH}' AND fecha_publicacion < DATE '{MONTH}' + INTERVAL 1 MONTH"
 RECENT = f"fecha_extraccion >= {NOW} - INTERVAL 48 HOUR"
@@ -400,22 +415,6 @@ def _detected(column: str) -> str:
               WHERE fecha_publicacion IS NOT NULL AND {column} >= {NOW} - INTERVAL 48 HOUR) GROUP BY ALL"""
 
 
-def _dictionary_hits(document: str, where: str) -> str:
-    """Dictionary hits of a document expression, without the omitted ones."""
-    return f"""
-        SELECT c.id AS raw_noticia_id, e.canonical AS keyword, e.normalized AS normalized_keyword,
-               e.canonical AS canonical_keyword, e.normalized AS normalized_canonical_keyword, e.keyword_type,
-               'dictionary' AS extractor_source, CAST(1 + e.priority / 100.0 AS DOUBLE) AS score,
-               CAST(sum(c.n) AS INT) AS occurrences
-        FROM (SELECT id, normalized_alias, {counted('doc', 'marked_alias')} AS n
-              FROM (SELECT id, {marked(normalize(document))} AS doc FROM news WHERE fecha_publicacion IS NOT NULL AND {where}), names) c
-        JOIN aliases a USING (normalized_alias) JOIN entries e ON e.position = a.position
-        WHERE e.enabled AND c.n > 0 AND e.normalized NOT IN (SELECT normalized_keyword FROM omitted)
-        GROUP BY c.id, e.position, e.canonical, e.normalized, e.keyword_type, e.priority"""
-
-
-_TITLE_HITS = _dictionary_hits(f"trim({clean('titulo')} || '. ')", "true")
-_RECENT_HITS = _dictionary_hits(f"trim({clean('titulo')} || '. ' || {clean('texto_completo')})", RECENT)
 _URLS = ", ".join(
     f"({i}, {v})" for i, v in enumerate((
         "url", "upper(url)", "regexp_replace(url, '^https?', 'ftp')", r"regexp_replace(url, '(?s)^(https?:).*', '\1//')",
@@ -454,9 +453,11 @@ _SELECTS: dict[str, str] = {
         WHERE fecha_extraccion < {NOW} - INTERVAL 40 HOUR AND NOT ({RECENT})""",
     "affected_periods_upsert": "SELECT * FROM upserted",
     "keyword_hits_upsert": f"""
-        WITH_NEW SELECT {HIT} FROM new_hits UNION ALL SELECT {HIT} FROM old_hits o
-        WHERE NOT EXISTS (SELECT 1 FROM new_hits n WHERE n.raw_noticia_id = o.raw_noticia_id
-          AND n.normalized_keyword = o.normalized_keyword)""",
+        SELECT {HIT} FROM hits WHERE raw_noticia_id IN (SELECT id FROM news WHERE {RECENT})
+        UNION ALL SELECT {HIT} FROM hits_t o
+        WHERE NOT EXISTS (SELECT 1 FROM hits n WHERE n.raw_noticia_id = o.raw_noticia_id
+          AND n.normalized_keyword = o.normalized_keyword AND n.extractor_source = o.extractor_source
+          AND n.raw_noticia_id IN (SELECT id FROM news WHERE {RECENT}))""",
     "processed_markers": f"""
         SELECT n.id AS raw_noticia_id, 'completed' AS status, CAST(count(h.raw_noticia_id) AS INT) AS keyword_rows
         FROM news n LEFT JOIN hits h ON h.raw_noticia_id = n.id WHERE {RECENT} GROUP BY n.id
@@ -514,7 +515,7 @@ _SELECTS: dict[str, str] = {
     "monthly_keyword_source_map": "SELECT month_start, normalized_keyword, source_media, media_news_count AS news_count FROM kmedia",
     "source_monthly_stats": "SELECT * FROM sstats",
     "source_monthly_top": """SELECT month_start, source_media, CAST(rn - 1 AS INT) AS place, keyword, news_count,
-        total_occurrences FROM stop""",
+        total_occurrences FROM source_top""",
     "monthly_overview": """
         SELECT n.month_start, CAST(n.total AS INT) AS total_news, CAST(coalesce(h.covered, 0) AS INT) AS news_with_keywords,
                CAST(n.sources AS INT) AS active_source_count, CAST(coalesce(h.keywords, 0) AS INT) AS keyword_count,
@@ -552,7 +553,7 @@ _SELECTS: dict[str, str] = {
                max(news_count) AS peak_count, count(*) FILTER (news_count > 0) AS active_days FROM daily GROUP BY month_start""",
     "run_summary": """SELECT count(*) AS periods, CAST(coalesce(sum(rows_detected), 0) AS BIGINT) AS rows_detected
         FROM recent""",
-    "source_top_keywords": "SELECT * FROM stop",
+    "source_top_keywords": "SELECT * FROM source_top",
     "top_keywords_month": "SELECT * FROM ktop",
     "source_ranking": """SELECT month_start, source_media, news_count, distinct_keywords, CAST(row_number() OVER (
         PARTITION BY month_start ORDER BY news_count DESC, source_media) AS INT) AS rn FROM sstats""",
@@ -618,7 +619,7 @@ _SELECTS: dict[str, str] = {
     "news_keywords": """
         SELECT raw_noticia_id, noticia_hash, month_start, keyword, normalized_keyword, canonical_keyword,
                normalized_canonical_keyword, keyword_type, extractor_source, round(score, 6) AS score, occurrences, source_media
-        FROM merged3 WHERE normalized_keyword NOT IN (SELECT normalized_keyword FROM omitted)""",
+        FROM hits""",
     "affected_month_rebuild": "SELECT * FROM daily WHERE month_start IN (SELECT month_start FROM recent)",
     "reopen_consumed": """SELECT u.* FROM upserted u JOIN state s ON s.month_start = u.month_start
         WHERE s.status = 'consumed' AND u.status = 'pending'""",
@@ -675,14 +676,4 @@ _SELECTS: dict[str, str] = {
 }
 
 
-def _build() -> dict[str, str]:
-    out = {}
-    for name, select in _SELECTS.items():
-        if "WITH_NEW" in select:
-            CTES["new_hits"], CTES["old_hits"] = _RECENT_HITS, _TITLE_HITS
-            select = select.replace("WITH_NEW", "")
-        out[name] = sql(select)
-    return out
-
-
-ORACLES: dict[str, str] = _build()
+ORACLES: dict[str, str] = {name: sql(select) for name, select in _SELECTS.items()}
