@@ -83,7 +83,8 @@ def month_sample(news: DataFrame, month: dt.date, limit: int) -> DataFrame:
     return month_slice(news, month).orderBy("fecha_publicacion", "id").limit(limit)
 
 
-def unprocessed_news(news: DataFrame, markers: DataFrame) -> DataFrame:
-    """Articles without a completed extraction marker."""
-    done = markers.filter(F.col("status") == "completed").select(F.col("raw_noticia_id").alias("id"))
-    return news.join(done, "id", "left_anti")
+def unprocessed_news(news: DataFrame, markers: DataFrame, by_month: bool = False) -> DataFrame:
+    """Articles without a completed extraction marker; ``by_month`` asks for one filed under the article's month."""
+    done = markers.filter(F.col("status") == "completed").withColumnRenamed("raw_noticia_id", "id")
+    key = ["id", "month_start"] if by_month else ["id"]
+    return news.join(done.select(*key), key, "left_anti")

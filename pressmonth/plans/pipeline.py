@@ -76,7 +76,10 @@ def _positive(name: str, value: int | None) -> None:
 def run_sync(
     store: TableStore, upstream: DataFrame, now: dt.datetime, full: bool = False, lookback_hours: int = 48
 ) -> int:
-    """Copy new or changed upstream articles; returns how many rows were upserted."""
+    """Copy new or changed upstream articles; returns how many rows were upserted.
+
+    Months that an article leaves because its date changed become pending: nothing in them tells a later detection.
+    """
     _positive("lookback_hours", None if full else lookback_hours)
     with processing_run(store, "sync", now, full, lookback_hours) as run:
         columns = upstream.select(*ingest.SOURCE_COLUMNS)
@@ -86,12 +89,30 @@ def run_sync(
         run.rows_detected = staged.count()
         if run.rows_detected:
             stored = store.read("raw_news")
-            moved = stored.join(staged.select("noticia_hash"), "noticia_hash", "left_semi")
-            months = sorted({*month_values(staged), *month_values(moved)}, key=str)
+            to = staged.select("noticia_hash", F.col("month_start").alias("new_month"))
+            known = stored.select("noticia_hash", "month_start").join(to, "noticia_hash")
+            left = store.stage(run.run_id, "left", known.filter(
+                ~F.col("month_start").eqNullSafe(F.col("new_month"))
+            ).groupBy("month_start").agg(F.count(F.lit(1)).alias("rows_detected")))
+            months = sorted({*month_values(staged), *month_values(left)}, key=str)
+            # before the articles move, so that a run that dies in between is made up for by the next one
+            _reopen(store, left.filter("month_start IS NOT NULL"), run.run_id, now)
             store.replace_months("raw_news", ingest.news_upsert(stored.filter(in_months(months)), staged, now), months)
     return run.rows_detected
 
 
+def _reopen(store: TableStore, months: DataFrame, run_id: str, now: dt.datetime) -> None:
+    """Mark months as pending that a sync took articles from."""
+    if months.isEmpty():
+        return
+    found = months.select(
+        "month_start", F.year("month_start").alias("year"), F.month("month_start").alias("month"), "rows_detected"
+    )
+    store.replace("affected_periods", periods.upsert_periods(
+        store.read("affected_periods"), found, periods.REASONS["synced_at"], run_id, now
+    ))
+
+
 def run_detect(
     store: TableStore, now: dt.datetime, full: bool = False, lookback_hours: int = 48,
     from_extraction_date: bool = False,
@@ -158,7 +179,9 @@ def run_extract(
     def selected(months: list[dt.date]) -> DataFrame:
         news = store.read("raw_news").filter(in_months(months))
         if skip_existing and not reset_period:
-            news = ingest.unprocessed_news(news, store.read("news_keyword_processing"))
+            # a marker left under another month is of an article whose date has changed since
+            markers = store.read("news_keyword_processing").filter(in_months(months))
+            news = ingest.unprocessed_news(news, markers, by_month=True)
         return ingest.month_sample(news, period, limit_news) if limit_news else news
 
     if dry_run:
@@ -181,11 +204,13 @@ def run_extract(
             F.lit(run.run_id).alias("updated_from_run_id"), F.lit(now).cast("timestamp_ntz").alias("processed_at"),
         ))
         run.rows_detected = markers.count()
+        touched = set(months)
         for table, fresh in (("news_keywords", hits), ("news_keyword_processing", markers)):
-            _replace_articles(store, table, fresh, markers, months, reset_period, config)
-        kept = store.read("news_keywords").filter(in_months(months))
+            touched.update(_replace_articles(store, table, fresh, markers, months, reset_period, config))
+        rebuilt = sorted(touched, key=str)
+        kept = store.read("news_keywords").filter(in_months(rebuilt))
         store.replace_months(
-            "monthly_keyword_stats", stats.monthly_keyword_stats(kept, store.read("keyword_dictionary")), months
+            "monthly_keyword_stats", stats.monthly_keyword_stats(kept, store.read("keyword_dictionary")), rebuilt
         )
         if by_state:
             _mark(store, months, "completed", now)
@@ -195,8 +220,11 @@ def run_extract(
 def _replace_articles(
     store: TableStore, table: str, fresh: DataFrame, done: DataFrame, months: list[dt.date], reset: bool,
     config: KeywordConfig,
-) -> None:
-    """Replace everything a table holds about the processed articles, wherever it was filed before."""
+) -> list[Month]:
+    """Replace everything a table holds about the processed articles, wherever it was filed before.
+
+    Returns the months rewritten.
+    """
     stored = store.read(table)
     ids = done.select("raw_noticia_id")
     elsewhere = month_values(stored.filter(~in_months(months)).join(ids, "raw_noticia_id", "left_semi"))
@@ -207,6 +235,7 @@ def _replace_articles(
     if table == "news_keywords" and config.omitted:
         rows = hit_ops.prune_omitted(rows, config.omitted_df(store.spark), months)
     store.replace_months(table, rows, [*months, *elsewhere])
+    return [*months, *elsewhere]
 
 
 def build_months(store: TableStore, months: list[dt.date]) -> None:

@@ -26,12 +26,13 @@ def ingest_stream(
     """Process what has arrived and stop.
 
     Late articles are never dropped (there is no watermark): they reopen their month.  A replayed
-    micro-batch upserts the same rows again, so the outcome does not change.
+    micro-batch upserts the same rows again, so the outcome does not change.  Articles without an embedding
+    are left out, as in an incremental batch.
     """
 
     def on_batch(batch: DataFrame, _: int) -> None:
         now = clock()
-        run_sync(store, batch, now, full=True)
+        run_sync(store, batch.filter("embedding IS NOT NULL"), now, full=True)
         run_detect(store, now, lookback_hours=lookback_hours)
 
     return (

@@ -108,6 +108,28 @@ def test_moving_the_only_article_of_a_month_empties_it(store, upstream, config):
     assert {r.month_start for r in store.read("news_keywords").collect()} == {dt.date(2024, 2, 1)}
 
 
+@pytest.mark.parametrize("skip_existing", [True, False])
+def test_a_moved_article_is_counted_in_its_new_month_only(store, upstream, config, skip_existing):
+    only = ("dictionary",)
+    stays = article(1, "A", "Paro docente", "", dt.datetime(2024, 3, 5))
+    moves = article(2, "B", "Paro docente", "", dt.datetime(2024, 3, 6))
+    pipeline.run_incremental(store, upstream(stays, moves), config, NOW, extractors=only)
+    later = NOW + dt.timedelta(days=40)
+    moved = article(2, "B", "Paro docente", "", dt.datetime(2024, 4, 6), later)
+    done = pipeline.run_incremental(store, upstream(moved), config, later, extractors=only, skip_existing=skip_existing)
+    assert (done["synced"], done["built"]) == (1, 2)
+    assert set(statuses(store).values()) == {"consumed"}
+    april = dt.date(2024, 4, 1)
+    pairs = lambda name, *columns: sorted(map(tuple, store.read(name).select(*columns).collect()))
+    assert pairs("news_keywords", "month_start", "raw_noticia_id") == [(MARCH, 1), (april, 2)]
+    assert pairs("news_keyword_processing", "month_start", "raw_noticia_id") == [(MARCH, 1), (april, 2)]
+    for name in ("monthly_keyword_stats", "daily_activity"):
+        assert pairs(name, "month_start", "news_count") == [(MARCH, 1), (april, 1)], name
+    for name in ("source_keyword_stats", "source_monthly_stats"):
+        assert pairs(name, "month_start", "source_media", "news_count") == [(MARCH, "A", 1), (april, "B", 1)], name
+    assert pairs("monthly_overview", "month_start", "total_news", "news_with_keywords") == [(MARCH, 1, 1), (april, 1, 1)]
+
+
 def test_sync_filters_and_deduplicates(store, upstream):
     old = NOW - dt.timedelta(hours=60)
     rows = upstream(

@@ -15,7 +15,8 @@ def test_stream_equals_batch_and_keeps_late_articles(spark, upstream, tmp_path):
         query = stream.ingest_stream(store, stream.news_stream(spark, source), str(tmp_path / "progress"), lambda: NOW)
         assert query.awaitTermination(120) and query.exception() is None
 
-    arrive(article(1, "A", "uno", "", dt.datetime(2024, 3, 1)), article(2, "A", "dos", "", dt.datetime(2024, 4, 1)))
+    arrive(article(1, "A", "uno", "", dt.datetime(2024, 3, 1)), article(2, "A", "dos", "", dt.datetime(2024, 4, 1)),
+           article(4, "A", "sin vector", "", dt.datetime(2024, 5, 1), embedded=False))
     # years late, and a new version of a known article
     arrive(article(3, "B", "tarde", "", dt.datetime(2019, 1, 1)),
            article(2, "A", "dos, corregido", "", dt.datetime(2024, 4, 1), NOW + dt.timedelta(minutes=1)))
