@@ -299,9 +299,11 @@ def topic_report(
     stats = tables["monthly_keyword_stats"].filter(F.col("month_start") == F.lit(month))
     found = resolve_keyword(stats, normalized).first() or resolve_keyword_fuzzy(stats, normalized).first()
     name, key = (found["keyword"], found["normalized_keyword"]) if found else (typed, normalized)
-    rows = topic_rows(tables["news_keywords"], tables["raw_news"], key, month)
+    # articles are filed under the month of their hits: only that partition is read
+    articles = tables["raw_news"].filter(F.col("month_start") == F.lit(month))
+    rows = topic_rows(tables["news_keywords"], articles, key, month)
     sources = topic_sources(tables["source_keyword_stats"], tables["source_aliases"], key, month, strict=strict)
-    news = with_article(topic_news(of_source(rows, sources, source), order), tables["raw_news"])
+    news = with_article(topic_news(of_source(rows, sources, source), order), articles)
     return {
         "keyword": name,
         "normalized_keyword": key,

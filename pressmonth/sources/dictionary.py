@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import fold_label, normalize_text, tidy_label
-from ..schemas import TABLES
 
 SAMPLE_CONFIG = Path(__file__).resolve().parents[1] / "conf" / "keywords_sample.yml"
 
@@ -18,6 +17,10 @@ ENTRY_DDL = (
     "priority int, enabled boolean, aliases array<string>, normalized_aliases array<string>"
 )
 
+# The plain fields of an entry, their names in the file, and the values of those left out or empty there.
+FILE_FIELDS = {"keyword_type": "type", "category": "category", "priority": "priority"}
+FIELD_DEFAULTS = {"keyword_type": "topic", "category": None, "priority": 0}
+
 
 @dataclass(frozen=True)
 class KeywordConfig:
@@ -48,21 +51,21 @@ class KeywordConfig:
         return {a: e for e in self.entries if e["enabled"] for a in e["normalized_aliases"]}
 
 
+def _spellings(name: str, listed: list | None) -> list[str]:
+    """Display spellings of an entry in file order, led by its own name where the file does not list it."""
+    others = [spelling for spelling in map(tidy_label, listed or ()) if spelling]
+    return others if name in others else [name, *others]
+
+
 def _entry(position: int, raw: dict) -> dict:
-    canonical = tidy_label(raw.get("canonical"))
-    aliases = [a for a in map(tidy_label, raw.get("aliases", [])) if a]
-    if canonical not in aliases:
-        aliases = [canonical, *aliases]
-    return {
-        "position": position,
-        "canonical": canonical,
-        "normalized": fold_label(canonical),
-        "keyword_type": raw.get("type") or "topic",
-        "category": raw.get("category"),
-        "priority": int(raw.get("priority") or 0),
-        "enabled": bool(raw.get("enabled", True)),
-        "aliases": aliases,
-        "normalized_aliases": list(dict.fromkeys(n for n in map(fold_label, aliases) if n)),
+    name = tidy_label(raw["canonical"])
+    spellings = _spellings(name, raw.get("aliases"))
+    given = {column: raw[field] for column, field in FILE_FIELDS.items() if raw.get(field)}
+    folded = dict.fromkeys(map(fold_label, spellings))
+    row = FIELD_DEFAULTS | given
+    return row | {
+        "position": position, "canonical": name, "normalized": fold_label(name), "priority": int(row["priority"]),
+        "enabled": bool(raw.get("enabled", True)), "aliases": spellings, "normalized_aliases": [f for f in folded if f],
     }
 
 
@@ -131,7 +134,3 @@ def sync_aliases(stored: DataFrame, config: DataFrame, dictionary: DataFrame) ->
     disabled = gone.join(from_config, "normalized_keyword", "left_semi").withColumn("enabled", F.lit(False))
     untouched = gone.join(from_config, "normalized_keyword", "left_anti")
     return config.unionByName(disabled).unionByName(untouched)
-
-
-def empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], TABLES[table])

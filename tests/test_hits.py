@@ -36,12 +36,12 @@ def documents(spark, *texts):
 
 def test_config_defaults_and_order(config):
     names = [e["canonical"] for e in config.entries]
-    assert names == ["Santiago del Estero", "La Banda", "Paro docente", "Javier Milei", "Disabled Entry"]
+    assert names == ["Santiago del Estero", "La Banda", "Paro docente", "Javier Milei", "Entrada apagada"]
     milei = config.entries[3]
     assert milei["normalized_aliases"] == ["javier milei", "milei", "presidente javier milei"]
     assert (milei["keyword_type"], milei["priority"], milei["enabled"]) == ("topic", 0, True)
     assert config.omitted == {"leer mas", "ver mas"}
-    assert "disabled entry" not in config.alias_map()
+    assert "entrada apagada" not in config.alias_map()
 
 
 def test_missing_config_raises(tmp_path):
@@ -105,7 +105,7 @@ def test_merge_rules(spark):
 
 def test_canonicalise_takes_over_the_entry(spark, config):
     docs = documents(spark, "")
-    found = frame(spark, hit(0, "ciudad de La Banda"), hit(1, "desconocido"), hit(2, "Disabled Entry"))
+    found = frame(spark, hit(0, "ciudad de La Banda"), hit(1, "desconocido"), hit(2, "Entrada apagada"))
     rows = {r.hit_order: r for r in hits.canonicalize_hits(found, hits.alias_lookup(docs, config)).collect()}
     assert (rows[0].keyword, rows[0].normalized_keyword, rows[0].keyword_type, rows[0].extractor_source) == (
         "La Banda", "la banda", "place", "spacy")
@@ -147,7 +147,7 @@ def test_dictionary_sync_disables_but_never_deletes(spark, config):
     rows = {r.normalized_keyword: r for r in dic.sync_dictionary(stored, config.dictionary_df(spark)).collect()}
     assert rows["viejo"].enabled is False and rows["manual"].enabled is True
     assert (rows["la banda"].canonical_keyword, rows["la banda"].priority, rows["la banda"].source) == ("La Banda", 9, "manual")
-    assert rows["disabled entry"].enabled is False and len(rows) == 7
+    assert rows["entrada apagada"].enabled is False and len(rows) == 7
 
 
 def test_alias_sync(spark, config):
@@ -159,4 +159,4 @@ def test_alias_sync(spark, config):
     rows = {r.normalized_alias: r for r in dic.sync_aliases(stored, dic.config_aliases(config.entries_df(spark)), dictionary).collect()}
     assert rows["vieja banda"].enabled is False and rows["eme"].enabled is True
     assert (rows["milei"].normalized_keyword, rows["milei"].enabled) == ("javier milei", True)
-    assert rows["disabled entry"].enabled is False
+    assert rows["entrada apagada"].enabled is False
