@@ -4,8 +4,10 @@ Every element subtree (tag, text and children) is hashed; Spark counts on how ma
 Subtrees that recur on many pages of their host are the host's template and are deleted, save prose blocks inside the
 page's article: a paragraph that two articles share is content.  Elements whose tag, role or class names them as
 menus, headers, footers, sidebars, notices, adverts, forms, comments or markup are deleted on every page, as are
-scripts and styles, so pages of small hosts lose theirs too.  If a page has an article (or main) element, only that
-is read.
+scripts and styles, so pages of small hosts lose theirs too.  Inside an article a class or id counts only if all its
+words name such parts; outside, one word is enough, unless the element holds an article or half of the page's text.
+The page, body, article and main elements are never deleted by a name.  If a page has an article (or main) element,
+only that is read.
 
 A null or empty html has the text "" and no template.  Equal pages get equal texts; pages without a url share the
 empty host; an empty table gives no rows.  Template hashes of a host are counted slice by slice before they meet, and
@@ -50,6 +52,7 @@ BOILERPLATE = frozenset(
     "topbar toolbar comment comments disqus reply replies respond share sharing social related recommended newsletter "
     "subscribe subscription signup login form widget pagination pager skip toc".split()
 )
+AMBIGUOUS = frozenset("header side".split())  # inside an article these name its own parts
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 CLOSES_P = BLOCKS - {"br", "hr", "body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup", "legend"} | {"hr"}
 SIBLINGS = {  # an opening tag that ends an open element of these names, up to the container
@@ -73,25 +76,58 @@ class Node:
     hash: int = 0
 
 
-def _is_boilerplate(tag: str, piece: str, in_article: bool) -> bool:
+def _is_boilerplate(tag: str, piece: str, in_article: bool) -> tuple[bool, bool]:
+    """(dropped, only by a part of a name): the page, its articles and main parts are never dropped by a name."""
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True
-    if tag in ("html", "body", "article", "main") and "comment" not in piece:
-        return False
+        return True, False
+    if tag in ("html", "body", "article", "main"):
+        return False, False
+    hinted = False
     for name, *values in _MARKS.findall(piece):
         value = next((v for v in values if v), "")
         if name.lower() == "role":
             if value.lower() in ROLES:
-                return True
-        elif any(part.lower() in BOILERPLATE for part in _PARTS.split(value) if part):
-            return True
-    return "hidden" in piece and re.search(r"\s(?:hidden|aria-hidden\s*=\s*[\"']?true)\b", piece) is not None
+                return True, False
+            continue
+        for token in value.split():
+            parts = [part.lower() for part in _PARTS.split(token) if part]
+            if parts and all(p in BOILERPLATE for p in parts) and not (in_article and AMBIGUOUS.issuperset(parts)):
+                return True, False
+            hinted = hinted or any(p in BOILERPLATE for p in parts)
+    if "hidden" in piece and re.search(r"\s(?:hidden|aria-hidden\s*=\s*[\"']?true)\b", piece):
+        return True, False
+    return (hinted, True) if not in_article else (False, False)
+
+
+def _keep_wrappers(root: Node, hinted: list[Node]) -> None:
+    """An element dropped for a part of a name stays if it holds an article, a main part or half of the page's text."""
+    if not hinted:
+        return
+    sizes: dict[int, tuple[int, bool]] = {}
+    stack: list[tuple[Node, bool]] = [(root, False)]
+    suspects = {id(n) for n in hinted}
+    while stack:
+        node, ready = stack.pop()
+        if not ready:
+            stack.append((node, True))
+            stack += [(c, False) for c in node.children if isinstance(c, Node)]
+            continue
+        if node.dropped and id(node) not in suspects:
+            sizes[id(node)] = (0, False)
+            continue
+        inner = [sizes[id(c)] for c in node.children if isinstance(c, Node)]
+        size = sum(len("".join(c.split())) for c in node.children if isinstance(c, str)) + sum(n for n, _ in inner)
+        sizes[id(node)] = size, node.tag in ("article", "main") or any(has for _, has in inner)
+    for node in hinted:
+        size, has_article = sizes[id(node)]
+        node.dropped = not has_article and 2 * size < sizes[id(root)][0]
 
 
 def parse(page: str) -> Node:
     """The element tree of a page, with implied ends of paragraphs, items and cells; stray end tags are ignored."""
     root = Node("#root")
     stack = [root]
+    hinted: list[Node] = []
     raw: str | None = None
     for match in _PIECES.finditer(page):
         piece = match[0]
@@ -127,11 +163,15 @@ def parse(page: str) -> Node:
                 if stack[depth].tag in ends:
                     del stack[depth:]
                     break
-        node = Node(tag, _is_boilerplate(tag, piece, any(n.tag in ("article", "main") for n in stack)))
+        dropped, hint = _is_boilerplate(tag, piece, any(n.tag in ("article", "main") for n in stack))
+        node = Node(tag, dropped)
+        if dropped and hint:
+            hinted.append(node)
         stack[-1].children.append(node)
         if tag not in VOID and not piece.endswith("/>"):
             stack.append(node)
             raw = tag if tag in RAW else None
+    _keep_wrappers(root, hinted)
     return root
 
 

@@ -152,6 +152,19 @@ def test_templates_and_blocks(spark):
     assert html_templates.extract(pages.limit(0)).count() == 0
 
 
+def test_article_parts_are_not_dropped_by_a_word_of_their_class():
+    def text(page):
+        root = html_templates.parse(page)
+        html_templates.hash_subtrees(root)
+        return html_templates.main_text(root, frozenset())
+
+    assert text('<body class="single comments-open"><article class="post comments-open"><div class="entry-header"><h1>Head</h1></div>'
+                '<section id="social-impact"><p>one</p></section><div class="side-by-side">two</div><div class="newsletter-signup">box</div>'
+                '<header class="article-header">three</header><div class="ad">buy</div></article>') == "Head\none\ntwo\nthree"
+    assert text('<body><div class="has-sidebar"><article><p>text</p></article></div><div class="site-footer">end</div>') == "text"
+    assert text('<body class="no-comments"><div class="no-sidebar"><p>long text of a page</p></div><div class="site-footer">end</div>') == "long text of a page"
+
+
 def test_sketches_merge_and_estimate(spark, texts):
     rows = spark.createDataFrame([(t or "", (texts[i - 1][1] or "")) for i, (_, t) in enumerate(texts)], "a string, b string")
     a, b = fingerprints.sketch(F.col("a"), 4096), fingerprints.sketch(F.col("b"), 4096)
