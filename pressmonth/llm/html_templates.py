@@ -1,7 +1,7 @@
 """Main text of web pages by removal of site templates.
 
-Every element subtree (tag, text and children) is hashed; Spark counts on how many pages of a host each hash occurs.
-Subtrees that recur on many pages of their host are the host's template and are deleted, save prose blocks inside the
+Every element subtree (tag, text and children) is hashed; Spark counts on how many distinct pages of a host each hash
+occurs: copies of a page count once, whatever the host's size.  Subtrees that recur on many pages of their host are the host's template and are deleted, save prose blocks inside the
 page's article: a paragraph that two articles share is content.  Elements whose tag, role or class names them as
 menus, headers, footers, sidebars, notices, adverts, forms, comments or markup are deleted on every page, as are
 scripts and styles, so pages of small hosts lose theirs too.  Inside an article a class or id counts only if all its
@@ -10,16 +10,14 @@ The page, body, article and main elements are never deleted by a name.  If a pag
 only that is read.
 
 A null or empty html has the text "" and no template.  Equal pages get equal texts; pages without a url share the
-empty host; an empty table gives no rows.  Template hashes of a host are counted slice by slice before they meet, and
-a host keeps at most 1 / ``min_share`` times the subtrees of a page.
+empty host; an empty table gives no rows.  A host's template is sorted before its pages, not joined to each of them.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Container, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -28,9 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressmonth.llm.arrays import slices
-from pressmonth.llm.staging import widened
+from pressmonth.llm.staging import staged, widened
 
 MIN_PAGES, MIN_SHARE = 5, 0.02
+MANY_PAGES = 50  # a block of text on so many pages needs no share of its host
 SALTS = 64
 
 # Names of the HTML standard, and usual names of page parts.
@@ -46,6 +45,9 @@ BLOCKS = frozenset(
     "section summary table tbody td tfoot th thead tr ul".split()
 )
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption article main section div body html span b i em strong a".split())
+# what counts can delete, and what of it is a block of text, which may recur by chance
+COUNTED = BLOCKS - {"html", "body", "article", "main", "br", "hr"}
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th tr tbody thead tfoot figcaption caption legend option summary".split())
 BOILERPLATE = frozenset(
     "ad ads adv advert advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent notice "
     "popup modal overlay sidebar side nav navbar navigation menu menubar breadcrumb breadcrumbs footer header masthead "
@@ -74,6 +76,8 @@ class Node:
     dropped: bool = False
     children: list = field(default_factory=list)  # nodes and strings
     hash: int = 0
+    first: int = 0  # the lines of the page that the element holds
+    stop: int = 0
 
 
 def _is_boilerplate(tag: str, piece: str, in_article: bool) -> tuple[bool, bool]:
@@ -175,25 +179,75 @@ def parse(page: str) -> Node:
     return root
 
 
-def hash_subtrees(root: Node) -> list[int]:
-    """Hashes of all elements that hold something, bottom up; equal subtrees have equal hashes."""
-    found: list[int] = []
-    stack: list[tuple[Node, bool]] = [(root, False)]
+def hash_subtrees(root: Node) -> list[str]:
+    """The page's lines (text between ends of blocks) in order; sets all elements' hashes, bottom up, and lines.
+
+    Equal subtrees have equal hashes.  Dropped elements are no part of a subtree: a page's own script does not make its
+    copy another page.
+    """
+    lines: list[list[str]] = []
+    ended = True
+    stack: list[tuple[Node | str, bool]] = [(root, False)]
     while stack:
         node, ready = stack.pop()
+        if isinstance(node, str):
+            if ended:
+                lines.append([])
+            lines[-1].append(node)
+            ended = False
+            continue
+        ended = ended or node.tag in BLOCKS
         if not ready:
+            node.first = len(lines)
             stack.append((node, True))
-            stack += [(c, False) for c in node.children if isinstance(c, Node)]
-            continue
-        content = [f"\x01{c.hash:x}" if isinstance(c, Node) else " ".join(c.split()) for c in node.children]
-        node.hash = xxhash.xxh64_intdigest("\x00".join([node.tag, *content])) - 2**63
-        if any(content):
-            found.append(node.hash)
+            for c in reversed(node.children):
+                if isinstance(c, Node):
+                    stack += [(c, False)] if not c.dropped else []
+                elif text := " ".join(c.split()):
+                    stack.append((text, False))
+        else:
+            node.stop = len(lines)
+            content = [f"\x01{c.hash:x}" if isinstance(c, Node) else " ".join(c.split()) for c in node.children if isinstance(c, str) or not c.dropped]
+            node.hash = xxhash.xxh64_intdigest("\x00".join([node.tag, *content])) - 2**63
+    return [" ".join(line) for line in lines]
+
+
+def recurring(root: Node) -> set[tuple[int | None, bool, bool, int]]:
+    """(subtree, in an article, block of text, content) of a page's elements that may be template; null is the page.
+
+    The content stands for the page (or article) around the subtree: its longest line outside the subtree.  So a page
+    counts once, however many copies of it there are.
+    """
+    lines = hash_subtrees(root)
+    articles = _articles(root)
+    apart = {id(a) for a in articles}
+    digests: dict[int, int] = {}
+    found: set[tuple[int | None, bool, bool, int]] = set()
+    for top, inside in [(root, False), *((a, True) for a in articles)]:
+        longest = sorted(range(top.first, top.stop), key=lambda i: (-len(lines[i]), lines[i]))
+        for i in longest[:1]:
+            found.add((None, inside, False, xxhash.xxh64_intdigest(lines[i]) - 2**63))
+        stack = [top]
+        while stack:
+            for node in stack.pop().children:
+                if isinstance(node, str) or node.dropped or id(node) in apart:
+                    continue
+                stack.append(node)
+                if node.tag in COUNTED and node.first < node.stop and not (inside and node.tag in PROSE):
+                    other = next((i for i in longest if not node.first <= i < node.stop), None)
+                    if other is None:
+                        continue
+                    if other not in digests:
+                        digests[other] = xxhash.xxh64_intdigest(lines[other]) - 2**63
+                    found.add((node.hash, inside, node.tag in TEXT, digests[other]))
     return found
 
 
-def main_text(root: Node, template: frozenset[int]) -> str:
-    """Blocks of the article, white space inside a block as one space, joined by line ends."""
+def main_text(root: Node, template: Container[int]) -> str:
+    """Blocks of the article, white space inside a block as one space, joined by line ends.
+
+    An element with all lines of the page is never deleted.
+    """
     roots = _articles(root) or [root]
     blocks: list[str] = []
     line: list[str] = []
@@ -205,7 +259,7 @@ def main_text(root: Node, template: frozenset[int]) -> str:
             blocks.append(text)
 
     # words in line go with their block; what an article shares with another is content if it is prose
-    deletable = BLOCKS if roots == [root] else BLOCKS - PROSE
+    deletable = COUNTED if roots == [root] else COUNTED - PROSE
     for top in roots:
         stack: list[Node | str | None] = [top]
         while stack:
@@ -214,7 +268,9 @@ def main_text(root: Node, template: frozenset[int]) -> str:
                 flush()
             elif isinstance(item, str):
                 line.append(item)
-            elif item.dropped or (item.tag in deletable and item is not top and item.hash in template):
+            elif item.dropped or (
+                item.tag in deletable and item.hash in template and (item.first, item.stop) != (top.first, top.stop)
+            ):
                 if item.tag in BLOCKS:
                     flush()
             else:
@@ -249,29 +305,32 @@ def host_of(url: Column) -> Column:
 
 
 def templates(pages: DataFrame, html: str, min_pages: int, min_share: float) -> DataFrame:
-    """(host, template): the hashes of each host that recur on enough of its pages."""
+    """(host, inside, subtree): the hashes of each host that recur on enough of its distinct pages or articles.
+
+    ``min_pages`` are enough for a box; a block of text needs the share of the host's pages too, or ``MANY_PAGES``.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, html):
-                seen: Counter = Counter()
+                seen: set = set()
                 for host, page in zip(piece.column("__host").to_pylist(), piece.column(html).to_pylist()):
-                    seen.update((host, h) for h in set(hash_subtrees(parse(page or ""))))
+                    seen.update((host, *found) for found in recurring(parse(page or "")))
+                columns = list(zip(*seen)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([h for h, _ in seen], pa.string()), pa.array([s for _, s in seen], pa.int64()),
-                     pa.array(list(seen.values()), pa.int64())],
-                    ["__host", "subtree", "pages"],
+                    [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64()))],
+                    ["__host", "__subtree", "__inside", "text", "content"],
                 )
 
     counted = (
-        pages.select("__host", html).mapInArrow(run, "__host string, subtree bigint, pages bigint")
-        .groupBy("__host", "subtree").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= min_pages)
-    )
-    sizes = pages.groupBy("__host").agg(F.count("*").alias("all_pages"))
-    return (
-        counted.join(sizes, "__host").where(F.col("pages") >= F.col("all_pages") * min_share)
-        .groupBy("__host").agg(F.collect_set("subtree").alias("__template"))
+        pages.select("__host", html).mapInArrow(run, "__host string, __subtree bigint, __inside boolean, text boolean, content bigint")
+        .distinct().groupBy("__host", "__subtree", "__inside", "text").agg(F.count("*").alias("pages"))
+        .where((F.col("pages") >= min_pages) | F.col("__subtree").isNull())
     )
+    counted = staged(counted)
+    sizes = counted.where("__subtree is null").select("__host", "__inside", F.col("pages").alias("all_pages"))
+    enough = ~F.col("text") | (F.col("pages") >= F.least(F.col("all_pages") * min_share, F.lit(MANY_PAGES)))
+    return counted.where("__subtree is not null").join(sizes, ["__host", "__inside"]).where(enough).select("__host", "__inside", "__subtree")
 
 
 def extract(
@@ -283,26 +342,30 @@ def extract(
     schema = widened(hosted.select(*kept).schema, text="string", n_chars="bigint")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[int]] = {}
+        host, known = None, set()
         for batch in batches:
             for piece in slices(batch, html):
-                texts = []
-                hosts, lists = piece.column("__host").to_pylist(), piece.column("__template")
-                for i, (host, page) in enumerate(zip(hosts, piece.column(html).to_pylist())):
-                    if host not in known:
-                        if len(known) > 1000:
-                            known.clear()
-                        known[host] = frozenset(lists[i].as_py() or ())
+                texts, own = [], []
+                columns = (piece.column(c).to_pylist() for c in ("__host", "__subtree", "__inside", html))
+                for i, (of, subtree, inside, page) in enumerate(zip(*columns)):
+                    if of != host:
+                        host, known = of, set()
+                    if subtree is not None:
+                        known.add(subtree)
+                        continue
                     root = parse(page or "")
                     hash_subtrees(root)
-                    texts.append(main_text(root, known[host]))
+                    texts.append(main_text(root, known))
+                    own.append(i)
+                rows = piece.take(pa.array(own, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(c) for c in kept), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                    [*(rows.column(c) for c in kept), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                     schema.names,
                 )
 
-    # the few rows of a host's template are repeated, so that a hot host's pages are dealt over SALTS tasks
-    salted = hosted.withColumn("__salt", F.pmod(F.xxhash64(url, html), F.lit(SALTS)))
+    # a host's template comes before its pages and is repeated, so that a hot host's pages are dealt over SALTS tasks
+    salted = hosted.select(*kept, html, "__host").withColumn("__salt", F.pmod(F.xxhash64(url, html), F.lit(SALTS)))
     found = templates(hosted, html, min_pages, min_share).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    joined = salted.join(found, ["__host", "__salt"], "left")
-    return joined.select(*kept, html, "__host", "__template").mapInArrow(run, schema)
+    dealt = salted.unionByName(found, allowMissingColumns=True).repartition("__host", "__salt")
+    ordered = dealt.sortWithinPartitions("__host", "__salt", F.col("__subtree").isNull())
+    return ordered.select(*kept, html, "__host", "__subtree", "__inside").mapInArrow(run, schema)

@@ -165,6 +165,18 @@ def test_article_parts_are_not_dropped_by_a_word_of_their_class():
     assert text('<body class="no-comments"><div class="no-sidebar"><p>long text of a page</p></div><div class="site-footer">end</div>') == "long text of a page"
 
 
+def test_template_counts_distinct_pages_at_any_host_size(spark):
+    copy = "<html><body><div>{}</div><p>the only page</p><p>of this host</p><script>{}</script></body></html>"
+    rows = [(i, "http://copies.example/", copy.format("same head", i)) for i in range(9)]
+    page = "<html><body><section><p>latest</p></section><p>own text number {0} of the host</p></body></html>"
+    rows += [(100 + i, "http://big.example/", page.format(i) if i < 6 else f"<body><p>other page {i}") for i in range(600)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_templates.extract(pages).collect()}
+    assert {got[i] for i in range(9)} == {"same head\nthe only page\nof this host"}
+    assert got[103] == "own text number 3 of the host"
+    assert len(got) == 609
+
+
 def test_sketches_merge_and_estimate(spark, texts):
     rows = spark.createDataFrame([(t or "", (texts[i - 1][1] or "")) for i, (_, t) in enumerate(texts)], "a string, b string")
     a, b = fingerprints.sketch(F.col("a"), 4096), fingerprints.sketch(F.col("b"), 4096)
