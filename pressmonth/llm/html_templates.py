@@ -1,13 +1,14 @@
 """Main text of web pages by removal of site templates.
 
 Every element subtree (tag, text and children) is hashed; Spark counts on how many distinct pages of a host each hash
-occurs: copies of a page count once, whatever the host's size.  Subtrees that recur on many pages of their host are the host's template and are deleted, save prose blocks inside the
-page's article: a paragraph that two articles share is content.  Elements whose tag, role or class names them as
-menus, headers, footers, sidebars, notices, adverts, forms, comments or markup are deleted on every page, as are
-scripts and styles, so pages of small hosts lose theirs too.  Inside an article a class or id counts only if all its
-words name such parts; outside, one word is enough, unless the element holds an article or half of the page's text.
-The page, body, article and main elements are never deleted by a name.  If a page has an article (or main) element,
-only that is read.
+occurs: copies of a page count once, whatever the host's size.  Subtrees that recur on many pages of their host are the
+host's template and are deleted.  If a page has an article (or main) element, only that is read, and only what recurs
+inside the host's articles is deleted from it: a box (div, section, list, table) that five different articles hold, and
+a block of text (paragraph, heading, item) that nine of ten articles hold; what fewer share is content.  Elements
+whose tag, role or class names them as menus, headers, footers, sidebars, notices, adverts, forms, comments or markup
+are deleted on every page, as are scripts and styles, so pages of small hosts lose theirs too.  Inside an article a
+class or id counts only if all its words name such parts; outside, one word is enough, unless the element holds an
+article or half of the page's text.  The page, body, article and main elements are never deleted by a name.
 
 A null or empty html has the text "" and no template.  Equal pages get equal texts; pages without a url share the
 empty host; an empty table gives no rows.  A host's template is sorted before its pages, not joined to each of them.
@@ -29,6 +30,7 @@ from pressmonth.llm.arrays import slices
 from pressmonth.llm.staging import staged, widened
 
 MIN_PAGES, MIN_SHARE = 5, 0.02
+ARTICLE_SHARE = 0.9  # of a host's distinct articles: fewer may share a block of text that is content
 MANY_PAGES = 50  # a block of text on so many pages needs no share of its host
 SALTS = 64
 
@@ -44,7 +46,6 @@ BLOCKS = frozenset(
     "form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search "
     "section summary table tbody td tfoot th thead tr ul".split()
 )
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption article main section div body html span b i em strong a".split())
 # what counts can delete, and what of it is a block of text, which may recur by chance
 COUNTED = BLOCKS - {"html", "body", "article", "main", "br", "hr"}
 TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th tr tbody thead tfoot figcaption caption legend option summary".split())
@@ -233,7 +234,7 @@ def recurring(root: Node) -> set[tuple[int | None, bool, bool, int]]:
                 if isinstance(node, str) or node.dropped or id(node) in apart:
                     continue
                 stack.append(node)
-                if node.tag in COUNTED and node.first < node.stop and not (inside and node.tag in PROSE):
+                if node.tag in COUNTED and node.first < node.stop:
                     other = next((i for i in longest if not node.first <= i < node.stop), None)
                     if other is None:
                         continue
@@ -243,9 +244,10 @@ def recurring(root: Node) -> set[tuple[int | None, bool, bool, int]]:
     return found
 
 
-def main_text(root: Node, template: Container[int]) -> str:
+def main_text(root: Node, template: Container[int], boxes: Container[int] = ()) -> str:
     """Blocks of the article, white space inside a block as one space, joined by line ends.
 
+    ``template`` holds the subtrees to delete of a page without article, ``boxes`` those inside articles.
     An element with all lines of the page is never deleted.
     """
     roots = _articles(root) or [root]
@@ -258,8 +260,8 @@ def main_text(root: Node, template: Container[int]) -> str:
         if text:
             blocks.append(text)
 
-    # words in line go with their block; what an article shares with another is content if it is prose
-    deletable = COUNTED if roots == [root] else COUNTED - PROSE
+    # words in line go with their block
+    recurs = template if roots == [root] else boxes
     for top in roots:
         stack: list[Node | str | None] = [top]
         while stack:
@@ -269,7 +271,7 @@ def main_text(root: Node, template: Container[int]) -> str:
             elif isinstance(item, str):
                 line.append(item)
             elif item.dropped or (
-                item.tag in deletable and item.hash in template and (item.first, item.stop) != (top.first, top.stop)
+                item.tag in COUNTED and item.hash in recurs and (item.first, item.stop) != (top.first, top.stop)
             ):
                 if item.tag in BLOCKS:
                     flush()
@@ -307,7 +309,8 @@ def host_of(url: Column) -> Column:
 def templates(pages: DataFrame, html: str, min_pages: int, min_share: float) -> DataFrame:
     """(host, inside, subtree): the hashes of each host that recur on enough of its distinct pages or articles.
 
-    ``min_pages`` are enough for a box; a block of text needs the share of the host's pages too, or ``MANY_PAGES``.
+    ``min_pages`` are enough for a box.  A block of text needs the share of the host's pages too, or ``MANY_PAGES``;
+    inside articles it needs ``ARTICLE_SHARE`` of them.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,7 +332,8 @@ def templates(pages: DataFrame, html: str, min_pages: int, min_share: float) ->
     )
     counted = staged(counted)
     sizes = counted.where("__subtree is null").select("__host", "__inside", F.col("pages").alias("all_pages"))
-    enough = ~F.col("text") | (F.col("pages") >= F.least(F.col("all_pages") * min_share, F.lit(MANY_PAGES)))
+    needed = F.when(F.col("__inside"), F.col("all_pages") * ARTICLE_SHARE).otherwise(F.least(F.col("all_pages") * min_share, F.lit(MANY_PAGES)))
+    enough = ~F.col("text") | (F.col("pages") >= needed)
     return counted.where("__subtree is not null").join(sizes, ["__host", "__inside"]).where(enough).select("__host", "__inside", "__subtree")
 
 
@@ -342,20 +346,20 @@ def extract(
     schema = widened(hosted.select(*kept).schema, text="string", n_chars="bigint")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, known = None, set()
+        host, known = None, (set(), set())
         for batch in batches:
             for piece in slices(batch, html):
                 texts, own = [], []
                 columns = (piece.column(c).to_pylist() for c in ("__host", "__subtree", "__inside", html))
                 for i, (of, subtree, inside, page) in enumerate(zip(*columns)):
                     if of != host:
-                        host, known = of, set()
+                        host, known = of, (set(), set())
                     if subtree is not None:
-                        known.add(subtree)
+                        known[inside].add(subtree)
                         continue
                     root = parse(page or "")
                     hash_subtrees(root)
-                    texts.append(main_text(root, known))
+                    texts.append(main_text(root, *known))
                     own.append(i)
                 rows = piece.take(pa.array(own, pa.int64()))
                 yield pa.RecordBatch.from_arrays(

@@ -177,6 +177,16 @@ def test_template_counts_distinct_pages_at_any_host_size(spark):
     assert len(got) == 609
 
 
+def test_boxes_inside_articles_are_template(spark):
+    page = ("<body><article><h1>Title {0}</h1><p>Own text of the article number {0}.</p>{1}<div class='entry'><p>Get our letter</p></div>"
+            "<p>All rights reserved</p></article></body>")
+    rows = [(i, "http://h.example/", page.format(i, "<p>A shared quote.</p>" if i < 6 else "")) for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_templates.extract(pages).collect()}
+    assert got[3] == "Title 3\nOwn text of the article number 3.\nA shared quote."
+    assert got[13] == "Title 13\nOwn text of the article number 13."
+
+
 def test_sketches_merge_and_estimate(spark, texts):
     rows = spark.createDataFrame([(t or "", (texts[i - 1][1] or "")) for i, (_, t) in enumerate(texts)], "a string, b string")
     a, b = fingerprints.sketch(F.col("a"), 4096), fingerprints.sketch(F.col("b"), 4096)
