@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressmonth.llm.arrays import mix, slices, text_bytes, words
-from pressmonth.llm.staging import widened
+from pressmonth.llm.staging import staged, widened
 
 BUCKETS = 1 << 13  # of each kind of n-gram
 STEPS, RUN_ROWS, DECAY = 200, 256, 0.2
@@ -103,12 +103,31 @@ def sample_features(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def shuffled(features: pa.Table, key: str) -> pa.Table:
-    """Rows in an order fixed by a hash of the key (and the key): training does not depend on the partitioning."""
-    ids = features.column(key).to_pylist()
+PARTS = 8  # the sample comes to the driver in so many parts
+
+
+def shuffled(ids: list) -> list[int]:
+    """An order fixed by a hash of the ids (and the ids): training does not depend on the partitioning."""
     hashes = mix(np.array([zlib.crc32(str(i).encode()) for i in ids], np.uint64), 3)
-    order = sorted(range(len(ids)), key=lambda i: (int(hashes[i]), str(ids[i])))
-    return features.take(pa.array(order, pa.int64()))
+    return sorted(range(len(ids)), key=lambda i: (int(hashes[i]), str(ids[i])))
+
+
+def collected(features: DataFrame, key: str, flag: str) -> tuple[list, np.ndarray, Sample]:
+    """(ids, flags, features) of the rows of a bounded sample, shuffled; parts become compact arrays as they come."""
+    features = staged(features)
+    ids, flags, rows = [], [], []
+    for part in range(PARTS):
+        table = features.where(F.pmod(F.xxhash64(key), F.lit(PARTS)) == part).toArrow()
+        for batch in table.to_batches():
+            ids += batch.column(key).to_pylist()
+            flags += batch.column(flag).to_pylist()
+            ends = np.append(0, np.cumsum(batch.column("buckets").value_lengths().to_numpy(zero_copy_only=False)))
+            buckets = batch.column("buckets").flatten().to_numpy().astype(np.uint16)  # KINDS x BUCKETS fit
+            shares = batch.column("shares").flatten().to_numpy()
+            rows += [(buckets[lo:hi], shares[lo:hi].copy()) for lo, hi in zip(ends[:-1], ends[1:])]
+    order = shuffled(ids)
+    sample = Sample.of([rows[i] for i in order])
+    return [ids[i] for i in order], np.array([flags[i] for i in order]), sample
 
 
 @dataclass
@@ -121,14 +140,13 @@ class Sample:
     scale: np.ndarray  # by bucket: shares vary as the square root of their mean
 
     @classmethod
-    def of(cls, features: pa.Table) -> Sample:
-        lists = features.column("buckets").combine_chunks()
-        counts = lists.value_lengths().to_numpy(zero_copy_only=False)
-        buckets = lists.flatten().to_numpy()
-        shares = features.column("shares").combine_chunks().flatten().to_numpy()
-        mean = np.bincount(buckets, shares, len(KINDS) * BUCKETS) / max(features.num_rows, 1)
+    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]]) -> Sample:
+        buckets = np.concatenate([np.zeros(0, np.uint16), *(b for b, _ in rows)])
+        shares = np.concatenate([np.zeros(0, np.float32), *(s for _, s in rows)])
+        mean = np.bincount(buckets, shares, len(KINDS) * BUCKETS) / max(len(rows), 1)
         scale = (1 / np.sqrt(mean + 1e-4)).astype(np.float32)
-        return cls(buckets, shares * scale[buckets], np.append(0, np.cumsum(counts)), scale)
+        shares *= scale[buckets]
+        return cls(buckets, shares, np.append(0, np.cumsum([len(b) for b, _ in rows])).astype(np.int64), scale)
 
     def __len__(self) -> int:
         return len(self.first) - 1
@@ -153,13 +171,15 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def descend(
-    sample: Sample, slope: Callable[[np.ndarray, slice], np.ndarray], steps: int = STEPS, rate: float = 0.05, decay: float = DECAY
+    sample: Sample, slope: Callable[[np.ndarray, slice], np.ndarray], steps: int = STEPS, rate: float = 0.05, decay: float = DECAY,
+    start: tuple[np.ndarray, float] | None = None, extra: Callable[[], np.ndarray] | None = None,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias by Adam with decoupled decay over runs of the (randomly ordered) rows.
 
-    ``slope(scores, rows)`` gives the derivative of the run's mean loss by each of its rows' scores.
+    ``slope(scores, rows)`` gives the derivative of the run's mean loss by each of its rows' scores; ``extra()`` (called
+    after it) what is to be added to the run's gradient by weights and bias.
     """
-    weights, bias = np.zeros(len(KINDS) * BUCKETS), 0.0
+    weights, bias = (np.zeros(len(KINDS) * BUCKETS), 0.0) if start is None else start
     m, v = np.zeros(len(weights) + 1), np.zeros(len(weights) + 1)
     runs = max(1, len(sample) // RUN_ROWS)
     edges = np.linspace(0, len(sample), runs + 1).astype(int)
@@ -168,6 +188,8 @@ def descend(
         part = sample.rows(own.start, own.stop)
         by_row = slope(part.scores(weights, bias), own)
         g = np.append(part.gradient(by_row), by_row.sum())
+        if extra is not None:
+            g += extra()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = rate * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
         weights, bias = weights * (1 - rate * decay) - move[:-1], bias - move[-1]
@@ -210,13 +232,17 @@ class LinearModel:
     bias: float
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Probability of label 1 for each row; a kind without n-grams adds nothing."""
+        """Probability of label 1 for each row."""
+        return sigmoid(self.raw(data, offsets))
+
+    def raw(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Score of each row; a kind without n-grams adds nothing."""
         rows = len(offsets) - 1
         z = np.full(rows, self.bias)
         for row, bucket in ngrams(data, offsets):
             counts = np.bincount(row, minlength=rows)
             z += np.bincount(row, self.weights[bucket], rows) / np.maximum(counts, 1)
-        return sigmoid(z)
+        return z
 
 
 def sample_of(labels: DataFrame, limit: int, key: str, seed: int) -> DataFrame:

@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressmonth.llm.arrays import Words, mix, slices, text_bytes, words
-from pressmonth.llm.features import LinearModel, Sample, descend, one_label, platt, sample_features, sample_of, shuffled, sigmoid
+from pressmonth.llm.features import LinearModel, collected, descend, one_label, platt, sample_features, sample_of, sigmoid
 from pressmonth.llm.staging import widened
 
-SAMPLE_ROWS = 1200  # labelled rows of each label that the classifier is fitted on
+SAMPLE_ROWS = 1500  # labelled rows of each label that the classifier is fitted on
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW_WORDS = 8
@@ -92,12 +92,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, sam
         return None
     chosen = sample_of(known.where("y = 1"), sample_rows, key, 1).unionByName(sample_of(known.where("y = 0"), sample_rows, key, 1))
     held = docs.select(key, text).join(F.broadcast(chosen), key)  # 2 * sample_rows ids at most
-    features = shuffled(sample_features(held, text, [key, "y"]).toArrow(), key)
-    y = features.column("y").to_numpy().astype(np.float64)
+    _, y, sample = collected(sample_features(held, text, [key, "y"]), key, "y")
+    y = y.astype(np.float64)
     if not 0 < y.sum() < len(y):
         return None
     weight = np.where(y > 0, sizes[1] / y.sum(), sizes[0] / (len(y) - y.sum()))
-    sample, middle = Sample.of(features), len(y) * 3 // 4
+    middle = len(y) * 3 // 4
     weights, bias = descend(sample.rows(0, middle), lambda z, own: (sigmoid(z) - y[own]) / len(z))
     judged = slice(middle, len(y)) if 0 < y[middle:].sum() < len(y) - middle else slice(0, len(y))
     z, own = sample.scores(weights, bias)[judged], weight[judged]

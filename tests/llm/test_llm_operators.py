@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 from pressmonth.llm import bpe, fingerprints, html_templates, neardup, packing, pii, quality_pu, quality_rules, sharding, toxicity
 from pressmonth.llm.arrays import mix, shingles, text_bytes, words
+from pressmonth.llm.features import BUCKETS, KINDS, LinearModel, sparse_shares
 
 SF = "/root/testdata/sf0.001"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -263,6 +264,24 @@ def test_class_prior_is_near_the_truth():
     assert quality_pu.class_prior(positive, mixed) == pytest.approx(0.7, abs=0.08)
 
 
+def test_unlabelled_risk_and_prior_cover_all_documents(spark):
+    rng = np.random.default_rng(3)
+    pools = [[f"{c}{i}" for i in range(200)] for c in "gb"]
+    rows = [(i, " ".join(rng.choice(pools[int(i >= 100 and i % 4 == 0)], 30))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    weights = rng.normal(size=len(KINDS) * BUCKETS)
+    known = list(range(100))
+    n, loss, gradient = quality_pu.unlabelled_risk(docs, "doc_id", "text", known, weights, 0.5)
+    data, offsets = text_bytes(pa.array([t for i, t in rows if i >= 100]))
+    z = LinearModel(weights, 0.5).raw(data, offsets)
+    by_row = sum(np.bincount(b, s * q, len(weights)) for (b, s), q in zip(sparse_shares(data, offsets), 1 / (1 + np.exp(-z))))
+    assert n == 300 and loss == pytest.approx(np.logaddexp(0, z).mean(), abs=1e-5)
+    assert np.allclose(gradient[:-1], by_row / 300, atol=1e-5)
+    counts = quality_pu.unlabelled_counts(docs, "doc_id", "text", known, weights, 0.5, np.sort(z)[[50, 250]])
+    assert counts.tolist() == [50, 200, 50]
+    assert quality_pu.prior_of_counts(np.sort(z)[[50, 250]], counts) == quality_pu.class_prior(np.sort(z)[[50, 250]], z)
+
+
 BASE = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
