@@ -32,13 +32,25 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the least id (equal rows count as one)."""
-    verdict = neardup.near_duplicates(docs.select("doc_id", "text"))
-    copies = verdict.where(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(copies, "doc_id", "left_anti")
-    repeated = verdict.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    single = kept.join(repeated, "doc_id", "left_anti")
-    return single.unionByName(kept.join(repeated, "doc_id").dropDuplicates(["doc_id"])).select(*COLUMNS)
+    """One document of each group of near duplicates stays: the one with the least id.
+
+    Rows of equal id and text count as one; rows that share an id but not the text are documents of their own.
+    """
+    docs = docs.select(*COLUMNS)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        copies = neardup.near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept")).select("doc_id")
+        return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    # names in the order of the ids (moved above zero), with the text's digest where an id has several
+    name = F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
+    single = docs.join(repeated, "doc_id", "left_anti").withColumn("__name", name)
+    several = (
+        docs.join(repeated, "doc_id").groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("rest"))
+        .select("doc_id", "text", "rest.*").withColumn("__name", F.concat(name, F.lit(":"), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))))
+    )
+    named = single.unionByName(several)
+    copies = neardup.near_duplicates(named.select("__name", "text"), "__name").where(~F.col("kept")).select("__name")
+    return named.join(copies, "__name", "left_anti").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -427,6 +427,16 @@ def test_pipeline_stages_keep_their_promises(spark):
     assert {r[0] for r in pieces.select("doc_id").distinct().collect()} == {r[0] for r in kept.select("doc_id").collect()}
 
 
+def test_rows_that_share_an_id_keep_their_texts(spark):
+    import corpus_pipeline
+
+    text = ["".join(f"{w}{i} " for w in "abcdefghijkl") for i in range(4)]
+    rows = [(-1, text[0]), (7, text[0]), (7, text[1]), (7, text[1]), (7, None), (8, text[2]), (9, text[2]), (None, text[3])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    assert sorted(got, key=str) == sorted([(-1, text[0]), (7, text[1]), (7, None), (8, text[2]), (None, text[3])], key=str)
+
+
 def test_every_operator_is_registered_once():
     names = [q for q in entry.queries() if re.match(r"op\d+_", q)]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
