@@ -137,3 +137,15 @@ def shingles(found: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
     return row[new], value[new]
+
+
+def span_sums(hashes: np.ndarray) -> np.ndarray:
+    """Running sums from which :func:`span_hashes` takes the hash of any span of a sequence of hashes."""
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * _power(_BASE, len(hashes)), out=sums[1:])
+    return sums
+
+
+def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of each span [start, end); equal sequences have equal hashes wherever they lie."""
+    return mix((sums[end] - sums[start]) * _power(_INVERSE, len(sums))[start], seed) if len(start) else _EMPTY

@@ -6,8 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmonth.llm import bpe, fingerprints, html_templates, neardup, packing, pii, quality_pu, quality_rules, sharding, toxicity
-from pressmonth.llm.staging import fold, table
+from pressmonth.llm import (
+    ball_codes, bpe, fingerprints, hard_negatives, html_templates, neardup, packing, pii, quality_pu, quality_rules, repeats,
+    sharding, toxicity,
+)
+from pressmonth.llm.oracles import ORACLES  # noqa: F401
+from pressmonth.llm.staging import fold, staged, table
 
 PREDICT = 0.3
 
@@ -83,9 +87,28 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label").cast("bigint"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = ball_codes.compress(table(spark, sf_dir, "embeddings"))
+    rows = ball_codes.label_errors(staged(coded.select("id", "label", "code", "error")))
+    return rows.select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(ball_codes.codebooks_digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_quality_rules, op3_sharding, op4_html_extraction, op5_fingerprints, op6_toxicity,
-    op7_quality_classifier, op8_pii, op9_near_duplicates, op10_byte_bpe,
+    op7_quality_classifier, op8_pii, op9_near_duplicates, op10_byte_bpe, op11_hard_negatives,
+    op12_vector_codes, op13_substring_dedup,
 )}
-
-ORACLES: dict[str, str] = {}

@@ -28,6 +28,14 @@ def staged(rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def discard(rows: DataFrame) -> None:
+    """Delete the files of a :func:`staged` DataFrame that nothing reads any more."""
+    jvm = rows.sparkSession.sparkContext._jvm
+    for name in {file.rsplit("/", 1)[0] for file in rows.inputFiles()}:
+        folder = jvm.org.apache.hadoop.fs.Path(name)
+        folder.getFileSystem(rows.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def widened(schema: StructType, **types: str) -> StructType:
     """A copy of ``schema`` with further fields, their types in DDL."""
     return StructType([*schema.fields, *(StructField(name, DataType.fromDDL(ddl)) for name, ddl in types.items())])
