@@ -6,7 +6,7 @@ judged on the input.
 
 *Seed.*  Every window names an anchor: the rightmost of its ``seed``-word grams with the least hash.  The choice depends
 on the window's words alone, so equal windows name equal anchors at the same offset.  Windows in a row that name one
-anchor form a run; only runs (about one for seven words) are joined on anchors, windows are not.
+anchor form a run; only runs (about one for eight words) are joined on anchors, windows are not.
 
 *Extend.*  A run's context, all words its windows touch, is the anchor extended both ways.  Of equal runs (same anchor,
 same place in the same context) all but the first go whole, by a grouping that combines before it shuffles, so a
@@ -17,7 +17,7 @@ paired, and no group is collected.  Documents get back which of their runs and w
 *Keep.*  The words removed, joined into maximal spans, are the maximal repeats of at least ``window`` words.
 
 Runs and windows are told apart by two independent 64-bit hashes.  Rows that share an id but not the text are documents
-of their own, ordered by a hash of the text; rows that repeat id and text are one document and get the same result.  A
+of their own, ordered by a 36-bit hash of the text; rows that repeat id and text are one document and get the same result.  A
 null id comes before all others.  Null and empty texts have no words.  An empty table gives no rows.  Only id and text
 are read, so no other column can clash.
 """
@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from pressmonth.llm.arrays import Words, mix, slices, span_hashes, span_sums, text_bytes, words
 from pressmonth.llm.staging import widened
 
-WINDOW_WORDS, SEED_WORDS = 20, 8
-_PLACE = np.uint64((1 << 28) - 1)  # words of one slice; the other bits of a key are the gram's hash
+WINDOW_WORDS, SEED_WORDS = 20, 5
+_PLACES = (1 << 28) - 1  # words of one slice; the other bits of a number that holds a place are a hash
+_PLACE = np.uint64(_PLACES)
 
 
 @dataclass
@@ -109,6 +110,11 @@ def _windows(runs: Runs, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return run, runs.first[run] + step
 
 
+def _placed(piece: pa.RecordBatch, row: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The print of each row's document (its low bits are free) with a place in the document."""
+    return pa.array(piece.column("print").to_numpy(zero_copy_only=False)[row] | at)
+
+
 def _same(id_: Column, other: str) -> Column:
     return id_.eqNullSafe(F.col(other))
 
@@ -117,23 +123,26 @@ def remove_repeats(
     docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SEED_WORDS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``key``, ``n_words``, ``n_removed``, ``removed`` (maximal word spans) and ``kept`` (words joined by a space) of every row."""
-    texts = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("print"), F.col(text).alias("text"))
-    names = texts.select("id", "print").schema
+    prints = F.xxhash64(text).bitwiseAND(F.lit(~_PLACES))
+    texts = docs.select(F.col(key).alias("id"), prints.alias("print"), F.col(text).alias("text"))
+    ids = texts.select("id").schema
 
     def find_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, found in _pieces(batches):
             runs = runs_of(found, window, seed)
             yield pa.RecordBatch.from_arrays([
-                piece.column("id").take(pa.array(runs.row)), piece.column("print").take(pa.array(runs.row)),
-                pa.array(runs.number, pa.int32()), pa.array(runs.anchor.view(np.int64)), pa.array(runs.context.view(np.int64)),
-            ], ["id", "print", "run", "anchor", "context"])
-
-    runs = texts.mapInArrow(find_runs, widened(names, run="int", anchor="bigint", context="bigint"))
-    contexts = runs.groupBy("anchor", "context").agg(F.min(F.struct("id", "print", "run")).alias("first"))
-    several = contexts.groupBy("anchor").agg(F.min("context").alias("lo"), F.max("context").alias("hi")).where("lo < hi")
+                piece.column("id").take(pa.array(runs.row)), _placed(piece, runs.row, runs.number),
+                pa.array(runs.anchor.view(np.int64)), pa.array(runs.context.view(np.int64)),
+            ], ["id", "place", "anchor", "context"])
+
+    runs = texts.mapInArrow(find_runs, widened(ids, place="bigint", anchor="bigint", context="bigint"))
+    contexts = runs.groupBy("anchor", "context").agg(F.min(F.struct("id", "place")).alias("first"))
+    # counts what the other branch reads, so that both read one shuffle
+    several = contexts.groupBy("anchor").agg(F.count("first").alias("contexts")).where("contexts > 1")
+    number = F.col("first.place").bitwiseAND(F.lit(_PLACES))
     firsts = contexts.join(several.select("anchor", F.lit(1).alias("several")), "anchor", "left").groupBy(
-        F.col("first.id").alias("run_id"), F.col("first.print").alias("run_print")
-    ).agg(F.collect_list((F.col("first.run") * 2 + F.coalesce("several", F.lit(0))).cast("int")).alias("first_runs"))
+        F.col("first.id").alias("run_id"), F.col("first.place").bitwiseAND(F.lit(~_PLACES)).alias("run_print")
+    ).agg(F.collect_list((number * 2 + F.coalesce("several", F.lit(0))).cast("int")).alias("first_runs"))
     marked = texts.join(
         firsts, _same(F.col("id"), "run_id") & (F.col("print") == F.col("run_print")), "left"
     ).drop("run_id", "run_print")
@@ -144,18 +153,17 @@ def remove_repeats(
             open_ = np.flatnonzero(_marked(piece.column("first_runs"), runs, piece.num_rows) == 2)
             run, start = _windows(runs, open_)
             content = span_hashes(runs.sums, start, start + window, 24)
-            row = pa.array(runs.row[run])
-            at = start - np.searchsorted(found.row, runs.row[run])
+            row = runs.row[run]
             yield pa.RecordBatch.from_arrays([
-                piece.column("id").take(row), piece.column("print").take(row), pa.array(at, pa.int32()),
+                piece.column("id").take(pa.array(row)), _placed(piece, row, start - np.searchsorted(found.row, row)),
                 pa.array(runs.anchor[run].view(np.int64)), pa.array(content.view(np.int64)),
-            ], ["id", "print", "at", "anchor", "content"])
+            ], ["id", "place", "anchor", "content"])
 
-    opened = marked.mapInArrow(find_windows, widened(names, at="int", anchor="bigint", content="bigint"))
-    opened = opened.groupBy("anchor", "content").agg(F.min(F.struct("id", "print", "at")).alias("first"))
-    windows = opened.groupBy(F.col("first.id").alias("window_id"), F.col("first.print").alias("window_print")).agg(
-        F.collect_list("first.at").alias("first_windows")
-    )
+    opened = marked.mapInArrow(find_windows, widened(ids, place="bigint", anchor="bigint", content="bigint"))
+    opened = opened.groupBy("anchor", "content").agg(F.min(F.struct("id", "place")).alias("first"))
+    windows = opened.groupBy(
+        F.col("first.id").alias("window_id"), F.col("first.place").bitwiseAND(F.lit(~_PLACES)).alias("window_print")
+    ).agg(F.collect_list(number.cast("int")).alias("first_windows"))
     judged = marked.join(
         windows, _same(F.col("id"), "window_id") & (F.col("print") == F.col("window_print")), "left"
     ).select("id", "text", "first_runs", "first_windows")
@@ -180,7 +188,7 @@ def remove_repeats(
             ], ["id", "n_words", "n_removed", "removed", "kept"])
 
     schema = widened(
-        texts.select("id").schema, n_words="bigint", n_removed="bigint", removed="array<struct<first:int,end:int>>", kept="string"
+        ids, n_words="bigint", n_removed="bigint", removed="array<struct<first:int,end:int>>", kept="string"
     )
     return judged.mapInArrow(cut, schema).withColumnRenamed("id", key)
 
