@@ -10,9 +10,10 @@ anchor form a run; only runs (about one for eight words) are joined on anchors,
 
 *Extend.*  A run's context, all words its windows touch, is the anchor extended both ways.  Of equal runs (same anchor,
 same place in the same context) all but the first go whole, by a grouping that combines before it shuffles, so a
-passage in very many documents, or a group of copies, sends one row a task.  Where an anchor has several contexts,
-the first run of each is extended window by window, again by a grouping on (anchor, window).  No two documents are ever
-paired, and no group is collected.  Documents get back which of their runs and windows are first; all others go.
+passage in very many documents sends one row a task.  Of exact copies only the first is looked into.
+Where an anchor has several contexts, the first run of each is extended window by window, again by a grouping on
+(anchor, window).  No two documents are ever paired, and no group is collected.  Documents get back which of their runs
+and windows are first; all others go.
 
 *Keep.*  The words removed, joined into maximal spans, are the maximal repeats of at least ``window`` words.
 
@@ -31,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pressmonth.llm.arrays import Words, mix, slices, span_hashes, span_sums, text_bytes, words
 from pressmonth.llm.staging import widened
@@ -126,6 +128,13 @@ def remove_repeats(
     prints = F.xxhash64(text).bitwiseAND(F.lit(~_PLACES))
     texts = docs.select(F.col(key).alias("id"), prints.alias("print"), F.col(text).alias("text"))
     ids = texts.select("id").schema
+    # never null, so that no filter sets apart plans that can share a shuffle
+    hashes = [StructField(name, LongType(), False) for name in ("place", "anchor", "content")]
+    keyed = StructType([*ids.fields, *hashes])
+    # exact copies: the first stands for all, in the others every window came before
+    copies = texts.groupBy(F.md5(F.col("text").cast("binary"))).agg(F.min(F.struct("id", "print")).alias("first"))
+    originals = copies.select(F.col("first.id").alias("own_id"), F.col("first.print").alias("own_print")).distinct()
+    own = texts.join(originals, _same(F.col("id"), "own_id") & (F.col("print") == F.col("own_print")), "left_semi")
 
     def find_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, found in _pieces(batches):
@@ -133,10 +142,10 @@ def remove_repeats(
             yield pa.RecordBatch.from_arrays([
                 piece.column("id").take(pa.array(runs.row)), _placed(piece, runs.row, runs.number),
                 pa.array(runs.anchor.view(np.int64)), pa.array(runs.context.view(np.int64)),
-            ], ["id", "place", "anchor", "context"])
+            ], keyed.names)
 
-    runs = texts.mapInArrow(find_runs, widened(ids, place="bigint", anchor="bigint", context="bigint"))
-    contexts = runs.groupBy("anchor", "context").agg(F.min(F.struct("id", "place")).alias("first"))
+    runs = own.mapInArrow(find_runs, keyed)
+    contexts = runs.groupBy("anchor", "content").agg(F.min(F.struct("id", "place")).alias("first"))
     # counts what the other branch reads, so that both read one shuffle
     several = contexts.groupBy("anchor").agg(F.count("first").alias("contexts")).where("contexts > 1")
     number = F.col("first.place").bitwiseAND(F.lit(_PLACES))
@@ -157,16 +166,16 @@ def remove_repeats(
             yield pa.RecordBatch.from_arrays([
                 piece.column("id").take(pa.array(row)), _placed(piece, row, start - np.searchsorted(found.row, row)),
                 pa.array(runs.anchor[run].view(np.int64)), pa.array(content.view(np.int64)),
-            ], ["id", "place", "anchor", "content"])
+            ], keyed.names)
 
-    opened = marked.mapInArrow(find_windows, widened(ids, place="bigint", anchor="bigint", content="bigint"))
+    opened = marked.mapInArrow(find_windows, keyed)
     opened = opened.groupBy("anchor", "content").agg(F.min(F.struct("id", "place")).alias("first"))
     windows = opened.groupBy(
         F.col("first.id").alias("window_id"), F.col("first.place").bitwiseAND(F.lit(~_PLACES)).alias("window_print")
     ).agg(F.collect_list(number.cast("int")).alias("first_windows"))
     judged = marked.join(
         windows, _same(F.col("id"), "window_id") & (F.col("print") == F.col("window_print")), "left"
-    ).select("id", "text", "first_runs", "first_windows")
+    ).select("id", "text", "first_runs", "first_windows")  # a copy has none, so all its windows go
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, found in _pieces(batches):
