@@ -9,11 +9,11 @@ on the window's words alone, so equal windows name equal anchors at the same off
 anchor form a run; only runs (about one for eight words) are joined on anchors, windows are not.
 
 *Extend.*  A run's context, all words its windows touch, is the anchor extended both ways.  Of equal runs (same anchor,
-same place in the same context) all but the first go whole, by a grouping that combines before it shuffles, so a
-passage in very many documents sends one row a task.  Of exact copies only the first is looked into.
-Where an anchor has several contexts, the first run of each is extended window by window, again by a grouping on
-(anchor, window).  No two documents are ever paired, and no group is collected.  Documents get back which of their runs
-and windows are first; all others go.
+same place in the same context) all but the first go whole.  Tasks combine equal runs before they are dealt by ranges of
+(anchor, context), so a passage in very many documents sends a few rows a task, and the contexts of a frequent anchor
+are split over many tasks.  Of exact copies only the first is looked into.  Where an anchor has several contexts, the
+first run of each is extended window by window, by a grouping on (anchor, window).  No two documents are ever paired,
+and no group is collected.  Documents get back which of their runs and windows are first; all others go.
 
 *Keep.*  The words removed, joined into maximal spans, are the maximal repeats of at least ``window`` words.
 
@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -38,6 +39,7 @@ from pressmonth.llm.arrays import Words, mix, slices, span_hashes, span_sums, te
 from pressmonth.llm.staging import widened
 
 WINDOW_WORDS, SEED_WORDS = 20, 5
+BLOCK_RUNS = 500_000  # combined in a task before they are dealt
 _PLACES = (1 << 28) - 1  # words of one slice; the other bits of a number that holds a place are a hash
 _PLACE = np.uint64(_PLACES)
 
@@ -117,6 +119,24 @@ def _placed(piece: pa.RecordBatch, row: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.array(piece.column("print").to_numpy(zero_copy_only=False)[row] | at)
 
 
+def _new(rows: pa.Table, *names: str) -> np.ndarray:
+    """Rows that differ from the one before in one of the columns; the first one counts as new."""
+    new = np.zeros(rows.num_rows, bool)
+    new[:1] = True
+    for name in names:
+        values = rows.column(name).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return new
+
+
+def _first_marks(rows: pa.Table, alone: np.ndarray) -> pa.RecordBatch:
+    """Document and mark of first runs: their number in it, and a low bit if the anchor has other contexts."""
+    place = rows.column("place").to_numpy()
+    mark = ((place & _PLACES) * 2 + ~alone).astype(np.int32)
+    ids = rows.column("id").combine_chunks()
+    return pa.RecordBatch.from_arrays([ids, pa.array(place & ~_PLACES), pa.array(mark)], ["id", "print", "mark"])
+
+
 def _same(id_: Column, other: str) -> Column:
     return id_.eqNullSafe(F.col(other))
 
@@ -128,7 +148,6 @@ def remove_repeats(
     prints = F.xxhash64(text).bitwiseAND(F.lit(~_PLACES))
     texts = docs.select(F.col(key).alias("id"), prints.alias("print"), F.col(text).alias("text"))
     ids = texts.select("id").schema
-    # never null, so that no filter sets apart plans that can share a shuffle
     hashes = [StructField(name, LongType(), False) for name in ("place", "anchor", "content")]
     keyed = StructType([*ids.fields, *hashes])
     # exact copies: the first stands for all, in the others every window came before
@@ -136,22 +155,55 @@ def remove_repeats(
     originals = copies.select(F.col("first.id").alias("own_id"), F.col("first.print").alias("own_print")).distinct()
     own = texts.join(originals, _same(F.col("id"), "own_id") & (F.col("print") == F.col("own_print")), "left_semi")
 
+    order = ["anchor", "content", "id", "place"]
+
+    def combined(blocks: list[pa.RecordBatch]) -> pa.RecordBatch:
+        """The first of the runs that share anchor and context."""
+        rows = pa.Table.from_batches(blocks).combine_chunks()
+        rows = rows.take(pc.sort_indices(rows, [(name, "ascending") for name in order], null_placement="at_start"))
+        return rows.filter(pa.array(_new(rows, "anchor", "content"))).combine_chunks().to_batches()[0]
+
     def find_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, held = [], 0
         for piece, found in _pieces(batches):
             runs = runs_of(found, window, seed)
-            yield pa.RecordBatch.from_arrays([
+            if not len(runs.row):
+                continue
+            blocks.append(pa.RecordBatch.from_arrays([
                 piece.column("id").take(pa.array(runs.row)), _placed(piece, runs.row, runs.number),
                 pa.array(runs.anchor.view(np.int64)), pa.array(runs.context.view(np.int64)),
-            ], keyed.names)
-
-    runs = own.mapInArrow(find_runs, keyed)
-    contexts = runs.groupBy("anchor", "content").agg(F.min(F.struct("id", "place")).alias("first"))
-    # counts what the other branch reads, so that both read one shuffle
-    several = contexts.groupBy("anchor").agg(F.count("first").alias("contexts")).where("contexts > 1")
-    number = F.col("first.place").bitwiseAND(F.lit(_PLACES))
-    firsts = contexts.join(several.select("anchor", F.lit(1).alias("several")), "anchor", "left").groupBy(
-        F.col("first.id").alias("run_id"), F.col("first.place").bitwiseAND(F.lit(~_PLACES)).alias("run_print")
-    ).agg(F.collect_list((number * 2 + F.coalesce("several", F.lit(0))).cast("int")).alias("first_runs"))
+            ], keyed.names))
+            held += len(runs.row)
+            if held >= BLOCK_RUNS:
+                yield combined(blocks)
+                blocks, held = [], 0
+        if blocks:
+            yield combined(blocks)
+
+    def first_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of sorted runs the first of each context, and whether its anchor has others: a neighbour tells.
+
+        The ends of a range may have neighbours in the next one; they count as having others, which costs a look at
+        their windows and changes no result.
+        """
+        last, alone = None, False  # the context seen last, and whether the one before it has another anchor
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks()
+            new = np.flatnonzero(_new(rows, "anchor", "content"))
+            rows = rows.take(pa.array(new))
+            apart = _new(rows, "anchor")  # from the one before
+            apart[0] = alone
+            yield _first_marks(rows.slice(0, len(new) - 1), apart[:-1] & apart[1:])
+            last, alone = rows.slice(len(new) - 1).combine_chunks().to_batches()[0], bool(apart[-1])
+        if last is not None:
+            yield _first_marks(pa.Table.from_batches([last]), np.zeros(1, bool))
+
+    runs = own.mapInArrow(find_runs, keyed).repartitionByRange("anchor", "content").sortWithinPartitions(*order)
+    firsts = runs.mapInArrow(first_runs, widened(ids, print="bigint", mark="int")).groupBy(
+        F.col("id").alias("run_id"), F.col("print").alias("run_print")
+    ).agg(F.collect_list("mark").alias("first_runs"))
     marked = texts.join(
         firsts, _same(F.col("id"), "run_id") & (F.col("print") == F.col("run_print")), "left"
     ).drop("run_id", "run_print")
@@ -170,6 +222,7 @@ def remove_repeats(
 
     opened = marked.mapInArrow(find_windows, keyed)
     opened = opened.groupBy("anchor", "content").agg(F.min(F.struct("id", "place")).alias("first"))
+    number = F.col("first.place").bitwiseAND(F.lit(_PLACES))
     windows = opened.groupBy(
         F.col("first.id").alias("window_id"), F.col("first.place").bitwiseAND(F.lit(~_PLACES)).alias("window_print")
     ).agg(F.collect_list(number.cast("int")).alias("first_windows"))
