@@ -5,6 +5,7 @@ import os
 import time
 
 from pressmonth.plans.catalog import QUERIES
+from pressmonth.plans.lineage import drop_staged
 from pressmonth.session import local_session
 
 HEADLINE = (
@@ -29,6 +30,7 @@ def main() -> None:
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(directory.rstrip("/")).removeprefix("sf"),
     }))
+    drop_staged(spark)
     spark.stop()
 
 

@@ -1,13 +1,9 @@
-"""Embedding views: nearest articles, clusters, representatives and a two-dimensional map."""
+"""Articles closest to one article by the cosine of their embeddings."""
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -28,39 +24,3 @@ def nearest_articles(news: DataFrame, article_id: int, top: int = 10) -> DataFra
     return others.select("id", F.round(cosine(F.col("embedding"), F.col("target")), 6).alias("similarity")).orderBy(
         F.desc("similarity"), "id"
     ).limit(top)
-
-
-def _with_vectors(news: DataFrame) -> DataFrame:
-    return news.filter(F.col("embedding").isNotNull()).withColumn(
-        "features", array_to_vector(F.col("embedding").cast("array<double>"))
-    )
-
-
-def clustered(news: DataFrame, k: int = 8, seed: int = 42) -> DataFrame:
-    """Articles with their cluster and squared distance to its centre."""
-    vectors = _with_vectors(news)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
-    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
-    assigned = model.transform(vectors)
-    gap = F.zip_with(
-        vector_to_array("features"), F.element_at(centres, F.col("cluster") + 1), lambda a, b: (a - b) * (a - b)
-    )
-    return assigned.withColumn("distance", F.aggregate(gap, F.lit(0.0), lambda acc, v: acc + v)).drop("features")
-
-
-def monthly_clusters(articles: DataFrame) -> DataFrame:
-    return articles.groupBy("month_start", "cluster").agg(F.count(F.lit(1)).cast("int").alias("news_count"))
-
-
-def cluster_representatives(articles: DataFrame, top: int = 3) -> DataFrame:
-    """Articles closest to the centre of their cluster, per month."""
-    rank = F.row_number().over(Window.partitionBy("month_start", "cluster").orderBy("distance", "id"))
-    return articles.select("month_start", "cluster", "id", "distance", rank.alias("rn")).filter(F.col("rn") <= top)
-
-
-def map_2d(news: DataFrame) -> DataFrame:
-    """Articles on the plane of their two principal components."""
-    vectors = _with_vectors(news)
-    model = PCA(k=2, inputCol="features", outputCol="plane").fit(vectors)
-    point = vector_to_array("plane")
-    return model.transform(vectors).select("id", point[0].alias("x"), point[1].alias("y"))

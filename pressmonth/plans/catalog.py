@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, text, web
 from ..operators import (
-    aliases, entities, hits, ingest, keyphrases, matching, periods, quality, semantic, stats, trends,
+    aliases, clusters, entities, hits, ingest, keyphrases, map2d, matching, periods, quality, semantic, stats, trends,
 )
 from ..operators.upsert import upsert
 from ..sources import dictionary as dic
@@ -27,6 +27,7 @@ SOURCE_KEY = "fuente-2"
 # Requests of the batch resolution, asked in every month: exact, contained, containing and unknown ones.
 REQUESTS = ("thtion", "attion to", "the eriner thanea of", "hanedbl", "src", "zzz unknown", "and therhean is the")
 PAGE = (200, 100)  # rows, offset
+CLUSTERS = 3  # in each month
 HIT_COLUMNS = (
     "raw_noticia_id", "keyword", "normalized_keyword", "canonical_keyword", "normalized_canonical_keyword",
     "keyword_type", "extractor_source", "score", "occurrences",
@@ -790,19 +791,19 @@ def nearest_articles(spark, sf):
 
 def _clusters(spark, sf):
     rows = news(spark, sf, "id", "fecha_publicacion", "embedding")
-    return semantic.clustered(stats.published(rows).select("id", "month_start", "embedding"))
+    return clusters.clustered(stats.published(rows).select("id", "month_start", "embedding"), CLUSTERS)
 
 
 @query
 def monthly_clusters(spark, sf):
-    return semantic.monthly_clusters(_clusters(spark, sf))
+    return clusters.monthly_clusters(_clusters(spark, sf))
 
 
 @query
 def cluster_representatives(spark, sf):
-    return semantic.cluster_representatives(_clusters(spark, sf))
+    return clusters.cluster_representatives(_clusters(spark, sf))
 
 
 @query
 def map_2d(spark, sf):
-    return semantic.map_2d(news(spark, sf, "id", "embedding"))
+    return map2d.map_2d(news(spark, sf, "id", "embedding"))

@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Where all executors can write: what ``spark.checkpoint.dir`` names, else a folder in the warehouse, which a
+    cluster shares as well.  Every application has its own, so that :func:`drop_staged` takes only what is its own."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    return f"{base.rstrip('/')}/pressmonth-{spark.sparkContext.applicationId}"
 
 
 def computed_once(rows: DataFrame) -> DataFrame:
-    """``rows`` as a reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
-
-    A folder of its own is made only on a single machine that names none (tests).  A cluster without one
-    gets the plain rows back: they are computed again where needed, never parked on a local disk.
-    """
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if configured is None and not context.master.startswith("local"):
-            return rows
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="pressmonth-"))
-    return rows.checkpoint()
+    """``rows`` written as Parquet in the shared folder and read back."""
+    spark = rows.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete everything that :func:`computed_once` has written in this application; its results can no longer be read."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def spread(rows: DataFrame) -> DataFrame:

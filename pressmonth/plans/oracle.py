@@ -6,9 +6,9 @@ import re
 
 from ..functions.dates import MONTH_NAMES
 from ..functions.web import HTTP_URL
-from ..operators import quality
+from ..operators import clusters, map2d, quality
 from ..operators.keyphrases import STOPWORDS
-from .catalog import MONTH, PAGE, REQUESTS, SOURCE_KEY, TOPIC, config
+from .catalog import CLUSTERS, MONTH, PAGE, REQUESTS, SOURCE_KEY, TOPIC, config
 
 CONFIG = config()
 NOW = "TIMESTAMP '2024-01-04 00:00:00'"
@@ -676,4 +676,96 @@ _SELECTS: dict[str, str] = {
 }
 
 
-ORACLES: dict[str, str] = {name: sql(select) for name, select in _SELECTS.items()}
+_GAP = "list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+
+def _clusters(steps: int) -> str:
+    """Common table expressions up to ``assigned``: each article's cluster after ``steps`` of Lloyd's method."""
+    parts = ["""points AS MATERIALIZED (
+  SELECT doc_id AS id, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 65536) AS BIGINT)) AS v
+  FROM documents JOIN orders ON o_orderkey = doc_id JOIN embeddings ON vec_id = doc_id WHERE embedding IS NOT NULL
+)""", f"""centres0 AS MATERIALIZED (
+  SELECT month_start, row_number() OVER (PARTITION BY month_start ORDER BY md5(CAST(id AS VARCHAR)), id) - 1 AS cluster, v
+  FROM points QUALIFY cluster < {CLUSTERS}
+)"""]
+    for step in range(steps + 1):
+        parts.append(f"""near{step} AS MATERIALIZED (
+  SELECT id, p.month_start, min(struct_pack(gap := {_GAP}, cluster := cluster)) AS best
+  FROM points p JOIN centres{step} c USING (month_start) GROUP BY id, p.month_start
+)""")
+        if step < steps:
+            parts.append(f"""centres{step + 1} AS MATERIALIZED (
+  SELECT month_start, cluster, coalesce(m.v, c.v) AS v FROM centres{step} c LEFT JOIN (
+    SELECT month_start, cluster, list(mean ORDER BY place) AS v FROM (
+      SELECT month_start, best.cluster AS cluster, place, CAST(floor(sum(v[place]) / count(*)) AS BIGINT) AS mean
+      FROM near{step} JOIN points USING (id, month_start), unnest(range(1, len(v) + 1)) AS u(place)
+      GROUP BY month_start, best.cluster, place
+    ) GROUP BY month_start, cluster) m USING (month_start, cluster)
+)""")
+    parts.append(f"""assigned AS (
+  SELECT id, month_start, CAST(best.cluster AS INT) AS cluster, CAST(best.gap AS DOUBLE) / 4294967296 AS distance FROM near{steps}
+)""")
+    return "WITH " + ", ".join(parts)
+
+
+def _dot(a: str, b: str) -> str:
+    return f"list_sum(list_transform(list_zip({a}, {b}), lambda z: CAST(z[1] AS HUGEINT) * z[2]))"
+
+
+def _scaled(v: str) -> str:
+    return f"list_transform({v}, lambda x: x * 1048576 // greatest(1, list_max(list_transform({v}, lambda y: abs(y)))))"
+
+
+def _square(v: str) -> str:
+    """``v`` without its part along the first axis."""
+    return f"list_transform(list_zip({v}, a.axis), lambda q: q[1] - {_dot(v, 'a.axis')} * q[2] // greatest(1, {_dot('a.axis', 'a.axis')}))"
+
+
+def _power(name: str, start: int, steps: int) -> str:
+    """Power iteration, one expression a step; the sign makes the largest component positive."""
+    again, beside = (lambda v: v, "") if name == "first" else (_square, ", first a")
+    parts = [f"""{name}0 AS MATERIALIZED (SELECT {_scaled("s.v")} AS v FROM (SELECT {again("f.v")} AS v FROM (
+  SELECT list(w ORDER BY j) AS v FROM matrix WHERE i = (SELECT i FROM varied WHERE place = {start})) f{beside}) s)"""]
+    for step in range(steps):
+        image = f"list_transform(m.rows, lambda r: {_dot('r', 'p.v')})"
+        parts.append(f"""{name}{step + 1} AS MATERIALIZED (SELECT {_scaled("s.v")} AS v FROM (SELECT {again("f.v")} AS v FROM (
+  SELECT {image} AS v FROM {name}{step} p, whole m) f{beside}) s)""")
+    parts.append(f"""{name} AS MATERIALIZED (
+  SELECT list_transform(v, lambda x: x * CASE WHEN list_max(v) > -list_min(v) OR (list_max(v) = -list_min(v)
+    AND list_position(v, list_max(v)) < list_position(v, list_min(v))) THEN 1 ELSE -1 END) AS axis FROM {name}{steps}
+)""")
+    return ", ".join(parts)
+
+
+def _place(axis: str) -> str:
+    middle = f"CAST(floor({_dot('total', f'{axis}.axis')} / n) AS HUGEINT)"
+    length = f"sqrt(CAST({_dot(f'{axis}.axis', f'{axis}.axis')} AS DOUBLE))"
+    return f"CAST({_dot('v', f'{axis}.axis')} - {middle} AS DOUBLE) / (1024 * {length})"
+
+
+MAP_2D = f"""WITH points AS MATERIALIZED (
+  SELECT doc_id AS id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
+  FROM documents JOIN embeddings ON vec_id = doc_id WHERE embedding IS NOT NULL
+), cells AS MATERIALIZED (SELECT id, place, v[place] AS x FROM points, unnest(range(1, len(v) + 1)) AS u(place)
+), sums AS MATERIALIZED (SELECT place, CAST(sum(x) AS HUGEINT) AS total, CAST(count(*) AS HUGEINT) AS n FROM cells GROUP BY place
+), spread AS MATERIALIZED (
+  SELECT i, j, a.n * q - a.total * b.total AS c FROM (
+    SELECT l.place AS i, r.place AS j, CAST(sum(l.x * r.x) AS HUGEINT) AS q FROM cells l JOIN cells r USING (id) GROUP BY l.place, r.place
+  ) JOIN sums a ON a.place = i JOIN sums b ON b.place = j
+), matrix AS MATERIALIZED (SELECT i, j, c * 1073741824 // (SELECT max(abs(c)) FROM spread) AS w FROM spread
+), whole AS MATERIALIZED (SELECT list(cells ORDER BY i) AS rows FROM (SELECT i, list(w ORDER BY j) AS cells FROM matrix GROUP BY i)
+), varied AS MATERIALIZED (SELECT i, row_number() OVER (ORDER BY w DESC, i) AS place FROM matrix WHERE i = j
+), {_power("first", 1, map2d.STEPS)}, {_power("second", 2, map2d.STEPS)}, middle AS (
+  SELECT list(total ORDER BY place) AS total, any_value(n) AS n FROM sums
+)
+SELECT id, {_place("first")} AS x, {_place("second")} AS y FROM points, first, second, middle"""
+
+ORACLES: dict[str, str] = {name: sql(select) for name, select in _SELECTS.items()} | {
+    "monthly_clusters": _clusters(clusters.STEPS) + """
+SELECT month_start, cluster, count(*) AS news_count, max(distance) AS farthest FROM assigned GROUP BY month_start, cluster""",
+    "cluster_representatives": _clusters(clusters.STEPS) + """
+SELECT month_start, cluster, id, distance, CAST(row_number() OVER (PARTITION BY month_start, cluster ORDER BY distance, id) AS INT) AS rn
+FROM assigned QUALIFY rn <= 3""",
+    "map_2d": MAP_2D,
+}

@@ -10,6 +10,7 @@ sys.path.insert(0, str(HERE.parent))
 # Python workers unpickle functions that live in the test modules
 os.environ["PYTHONPATH"] = os.pathsep.join([str(HERE.parent), str(HERE), os.environ.get("PYTHONPATH", "")])
 
+from pressmonth.plans.lineage import drop_staged  # noqa: E402
 from pressmonth.schemas import UPSTREAM  # noqa: E402
 from pressmonth.session import local_session  # noqa: E402
 
@@ -20,6 +21,7 @@ NOW = dt.datetime(2024, 5, 1, 12)
 def spark():
     session = local_session(cores=4, shuffle_partitions=4, memory="4g")
     yield session
+    drop_staged(session)
     session.stop()
 
 
