@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +18,6 @@ ENTRY_DDL = (
     "priority int, enabled boolean, aliases array<string>, normalized_aliases array<string>"
 )
 
-# The plain fields of an entry, their names in the file, and the values of those left out or empty there.
-FILE_FIELDS = {"keyword_type": "type", "category": "category", "priority": "priority"}
-FIELD_DEFAULTS = {"keyword_type": "topic", "category": None, "priority": 0}
-
-
 @dataclass(frozen=True)
 class KeywordConfig:
     """Curated entries in file order, and the normalised phrases to drop."""
@@ -51,34 +47,41 @@ class KeywordConfig:
         return {a: e for e in self.entries if e["enabled"] for a in e["normalized_aliases"]}
 
 
-def _spellings(name: str, listed: list | None) -> list[str]:
-    """Display spellings of an entry in file order, led by its own name where the file does not list it."""
-    others = [spelling for spelling in map(tidy_label, listed or ()) if spelling]
-    return others if name in others else [name, *others]
-
-
-def _entry(position: int, raw: dict) -> dict:
-    name = tidy_label(raw["canonical"])
-    spellings = _spellings(name, raw.get("aliases"))
-    given = {column: raw[field] for column, field in FILE_FIELDS.items() if raw.get(field)}
-    folded = dict.fromkeys(map(fold_label, spellings))
-    row = FIELD_DEFAULTS | given
-    return row | {
-        "position": position, "canonical": name, "normalized": fold_label(name), "priority": int(row["priority"]),
-        "enabled": bool(raw.get("enabled", True)), "aliases": spellings, "normalized_aliases": [f for f in folded if f],
-    }
+def _column(records: list[dict], field: str, otherwise=None) -> list:
+    return [record.get(field) or otherwise for record in records]
 
 
 def load_keyword_config(path: str | Path) -> KeywordConfig:
-    """Read the YAML configuration once, on the driver. A missing file raises ``FileNotFoundError``."""
+    """Read the YAML configuration once, on the driver. A missing file raises ``FileNotFoundError``.
+
+    The file's records become a table of entries and a table of spellings (entry, place, spelling).  The name of an
+    entry that its aliases do not repeat takes the place before them; of spellings that fold alike the first counts.
+    """
     import yaml
 
-    data = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
-    usable = [raw for raw in data.get("entries") or [] if tidy_label(raw.get("canonical"))]
-    return KeywordConfig(
-        entries=tuple(_entry(i, raw) for i, raw in enumerate(usable)),
-        omitted=frozenset(filter(None, map(fold_label, data.get("omitted_keywords") or []))),
-    )
+    content = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+    records = [r for r in content.get("entries") or [] if tidy_label(r.get("canonical"))]
+    entries = pd.DataFrame({
+        "canonical": [tidy_label(r["canonical"]) for r in records],
+        "keyword_type": _column(records, "type", "topic"),
+        "category": pd.Series(_column(records, "category"), dtype=object),
+        "priority": [int(p) for p in _column(records, "priority", 0)],
+        "enabled": [bool(r.get("enabled", True)) for r in records],
+    })
+    entries["normalized"] = entries["canonical"].map(fold_label)
+    listed = pd.Series(_column(records, "aliases", []), dtype=object).explode().dropna().rename("spelling").reset_index()
+    listed["spelling"] = listed["spelling"].map(tidy_label)
+    own = entries["canonical"].rename("spelling").reset_index()
+    own = own[~own.apply(tuple, axis=1).isin(set(listed.itertuples(index=False, name=None)))] if len(own) else own
+    spellings = pd.concat([own, listed]).query("spelling != ''").sort_values("index", kind="stable")
+    spellings["folded"] = spellings["spelling"].map(fold_label)
+    distinct = spellings.query("folded != ''").drop_duplicates(["index", "folded"])
+    entries["aliases"] = spellings.groupby("index")["spelling"].agg(list).reindex(entries.index)
+    entries["normalized_aliases"] = [
+        found if isinstance(found, list) else [] for found in distinct.groupby("index")["folded"].agg(list).reindex(entries.index)
+    ]
+    omitted = {fold_label(phrase) for phrase in content.get("omitted_keywords") or []}
+    return KeywordConfig(tuple({"position": i, **e} for i, e in enumerate(entries.to_dict("records"))), frozenset(omitted - {""}))
 
 
 def dictionary_aliases(entries: DataFrame) -> DataFrame:

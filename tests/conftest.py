@@ -32,23 +32,23 @@ def config(tmp_path):
     path = tmp_path / "keywords.yml"
     path.write_text(
         """
-omitted_keywords: ["leer más", "ver más", "Ver   Más"]
+omitted_keywords: ["tapa impresa", "última hora", "Última   Hora"]
 entries:
-  - canonical: "Santiago del Estero"
+  - canonical: "Bahía Larga"
     type: place
-    category: territorio
+    category: costa
     priority: 10
-    aliases: ["Santiago del Estero", "provincia de Santiago del Estero"]
-  - canonical: "La Banda"
+    aliases: ["Bahía Larga", "puerto de Bahía Larga"]
+  - canonical: "El Remanso"
     type: place
     priority: 9
-    aliases: ["La Banda", "ciudad de La Banda"]
-  - canonical: "Paro docente"
+    aliases: ["El Remanso", "barrio El Remanso"]
+  - canonical: "Corte de luz"
     priority: 8
-    aliases: ["paro docente", "conflicto docente", "medida de fuerza docente"]
-  - canonical: "Javier Milei"
-    aliases: ["Milei", "presidente Javier Milei"]
-  - canonical: "Entrada apagada"
+    aliases: ["corte de luz", "falla general", "falta de suministro"]
+  - canonical: "Marta Ibáñez"
+    aliases: ["Ibáñez", "jueza Marta Ibáñez"]
+  - canonical: "Tema cerrado"
     enabled: false
   - canonical: "  "
     type: topic
@@ -59,10 +59,10 @@ entries:
 
 
 BODY_1 = (
-    "Las aulas de la provincia de Santiago del Estero siguen vacías por el paro docente. "
-    "El gremio votó anoche extender la medida de fuerza docente hasta el viernes."
+    "Medio puerto de Bahía Larga pasó la noche a oscuras por el corte de luz. "
+    "La cooperativa explicó la falta de suministro con un transformador quemado."
 )
-BODY_2 = "Hubo asamblea por el conflicto docente en la ciudad de La Banda. Las familias piden que vuelvan las clases."
+BODY_2 = "Nadie durmió tras la falla general en el barrio El Remanso. Los comercios tiraron lo que tenían en las heladeras."
 
 
 def article(number, source, title, body, published, extracted=NOW, hash_=None, embedded=True):
@@ -83,6 +83,6 @@ def upstream(spark):
 @pytest.fixture
 def two_articles():
     return (
-        article(1, "Fuente A", "Sigue el paro docente en Santiago del Estero", BODY_1, dt.datetime(2024, 3, 15, 10)),
-        article(2, "Fuente B", "Asamblea en La Banda por el conflicto docente", BODY_2, dt.datetime(2024, 3, 20, 12)),
+        article(1, "Fuente A", "Sigue el corte de luz en Bahía Larga", BODY_1, dt.datetime(2024, 3, 15, 10)),
+        article(2, "Fuente B", "Quejas en El Remanso por la falla general", BODY_2, dt.datetime(2024, 3, 20, 12)),
     )

@@ -36,12 +36,12 @@ def documents(spark, *texts):
 
 def test_config_defaults_and_order(config):
     names = [e["canonical"] for e in config.entries]
-    assert names == ["Santiago del Estero", "La Banda", "Paro docente", "Javier Milei", "Entrada apagada"]
-    milei = config.entries[3]
-    assert milei["normalized_aliases"] == ["javier milei", "milei", "presidente javier milei"]
-    assert (milei["keyword_type"], milei["priority"], milei["enabled"]) == ("topic", 0, True)
-    assert config.omitted == {"leer mas", "ver mas"}
-    assert "entrada apagada" not in config.alias_map()
+    assert names == ["Bahía Larga", "El Remanso", "Corte de luz", "Marta Ibáñez", "Tema cerrado"]
+    ibanez = config.entries[3]
+    assert ibanez["normalized_aliases"] == ["marta ibanez", "ibanez", "jueza marta ibanez"]
+    assert (ibanez["keyword_type"], ibanez["priority"], ibanez["enabled"]) == ("topic", 0, True)
+    assert config.omitted == {"tapa impresa", "ultima hora"}
+    assert "tema cerrado" not in config.alias_map()
 
 
 def test_missing_config_raises(tmp_path):
@@ -50,8 +50,8 @@ def test_missing_config_raises(tmp_path):
 
 
 def test_overlapping_aliases_add_up(spark, config):
-    found = matching.dictionary_hits(documents(spark, "El presidente Javier Milei habló"), config).collect()
-    assert [(r.keyword, r.occurrences, r.score) for r in found] == [("Javier Milei", 3, 1.0)]
+    found = matching.dictionary_hits(documents(spark, "La jueza Marta Ibáñez habló"), config).collect()
+    assert [(r.keyword, r.occurrences, r.score) for r in found] == [("Marta Ibáñez", 3, 1.0)]
 
 
 def brute_force(texts, config):
@@ -88,34 +88,34 @@ entries:
 def test_merge_rules(spark):
     merged = hits.merge_hits(frame(
         spark,
-        hit(0, "Paro Docente", score=1.5, n=2), hit(1, "paro docente", score=1.2, n=3),
+        hit(0, "Corte De Luz", score=1.5, n=2), hit(1, "corte de luz", score=1.2, n=3),
         hit(0, "cero", score=0.0), hit(1, "cero", score=None),
         hit(0, "nada", score=None), hit(1, "nada", score=None),
-        hit(0, "sde", canonical=None), hit(1, "sde", canonical="Santiago del Estero"),
+        hit(0, "sde", canonical=None), hit(1, "sde", canonical="Bahía Larga"),
         hit(0, "otro", source="yake"), hit(0, "otro"),
     ))
     by_key = {(r.normalized_keyword, r.extractor_source): r for r in merged.collect()}
-    paro = by_key["paro docente", "spacy"]
-    assert (paro.keyword, paro.score, paro.occurrences) == ("Paro Docente", 1.5, 5)
+    paro = by_key["corte de luz", "spacy"]
+    assert (paro.keyword, paro.score, paro.occurrences) == ("Corte De Luz", 1.5, 5)
     assert by_key["cero", "spacy"].score == 0.0
     assert by_key["nada", "spacy"].score is None
-    assert by_key["sde", "spacy"].canonical_keyword == "Santiago del Estero"
+    assert by_key["sde", "spacy"].canonical_keyword == "Bahía Larga"
     assert ("otro", "yake") in by_key and ("otro", "spacy") in by_key
 
 
 def test_canonicalise_takes_over_the_entry(spark, config):
     docs = documents(spark, "")
-    found = frame(spark, hit(0, "ciudad de La Banda"), hit(1, "desconocido"), hit(2, "Entrada apagada"))
+    found = frame(spark, hit(0, "barrio El Remanso"), hit(1, "desconocido"), hit(2, "Tema cerrado"))
     rows = {r.hit_order: r for r in hits.canonicalize_hits(found, hits.alias_lookup(docs, config)).collect()}
     assert (rows[0].keyword, rows[0].normalized_keyword, rows[0].keyword_type, rows[0].extractor_source) == (
-        "La Banda", "la banda", "place", "spacy")
+        "El Remanso", "el remanso", "place", "spacy")
     assert rows[1].keyword == "desconocido" and rows[2].canonical_keyword is None
 
 
 def test_omit_drops_every_extractor(spark, config):
-    found = frame(spark, hit(0, "Leer más"), hit(1, "Leer más", source="dictionary"), hit(2, "paro docente"))
+    found = frame(spark, hit(0, "Tapa impresa"), hit(1, "Tapa impresa", source="dictionary"), hit(2, "corte de luz"))
     kept = hits.filter_omitted(found, config.omitted_df(spark)).collect()
-    assert [r.keyword for r in kept] == ["paro docente"]
+    assert [r.keyword for r in kept] == ["corte de luz"]
 
 
 def test_entities_count_spellings_together(spark):
@@ -141,22 +141,22 @@ def test_custom_annotator(spark):
 def test_dictionary_sync_disables_but_never_deletes(spark, config):
     stored = spark.createDataFrame(
         [("Viejo", "viejo", "topic", None, 1, True, "config"), ("Manual", "manual", "topic", None, 1, True, "manual"),
-         ("La banda!", "la banda", "topic", None, 0, False, "manual")],
+         ("El remanso!", "el remanso", "topic", None, 0, False, "manual")],
         "canonical_keyword string, normalized_keyword string, keyword_type string, category string, priority int, enabled boolean, source string",
     )
     rows = {r.normalized_keyword: r for r in dic.sync_dictionary(stored, config.dictionary_df(spark)).collect()}
     assert rows["viejo"].enabled is False and rows["manual"].enabled is True
-    assert (rows["la banda"].canonical_keyword, rows["la banda"].priority, rows["la banda"].source) == ("La Banda", 9, "manual")
-    assert rows["entrada apagada"].enabled is False and len(rows) == 7
+    assert (rows["el remanso"].canonical_keyword, rows["el remanso"].priority, rows["el remanso"].source) == ("El Remanso", 9, "manual")
+    assert rows["tema cerrado"].enabled is False and len(rows) == 7
 
 
 def test_alias_sync(spark, config):
     dictionary = config.dictionary_df(spark).unionByName(spark.createDataFrame(
         [("M", "m", "topic", None, 0, True, "manual")], config.dictionary_df(spark).schema))
     stored = spark.createDataFrame(
-        [("la banda", "vieja banda", "vieja banda", True), ("m", "eme", "eme", True), ("x", "milei", "milei", True)],
+        [("el remanso", "vieja banda", "vieja banda", True), ("m", "eme", "eme", True), ("x", "ibanez", "ibanez", True)],
         "normalized_keyword string, alias string, normalized_alias string, enabled boolean")
     rows = {r.normalized_alias: r for r in dic.sync_aliases(stored, dic.config_aliases(config.entries_df(spark)), dictionary).collect()}
     assert rows["vieja banda"].enabled is False and rows["eme"].enabled is True
-    assert (rows["milei"].normalized_keyword, rows["milei"].enabled) == ("javier milei", True)
-    assert rows["entrada apagada"].enabled is False
+    assert (rows["ibanez"].normalized_keyword, rows["ibanez"].enabled) == ("marta ibanez", True)
+    assert rows["tema cerrado"].enabled is False

@@ -35,7 +35,7 @@ def test_stages_move_a_month_to_consumed(store, upstream, two_articles, config):
     assert statuses(store) == {(MARCH, "recent_sync"): "pending"}
     assert pipeline.run_extract(store, config, NOW) > 0
     assert statuses(store) == {(MARCH, "recent_sync"): "completed"}
-    found = store.read("news_keywords").filter("canonical_keyword = 'Santiago del Estero'")
+    found = store.read("news_keywords").filter("canonical_keyword = 'Bahía Larga'")
     assert found.count() >= 1
     assert pipeline.run_build(store, NOW) == 1
     assert statuses(store) == {(MARCH, "recent_sync"): "consumed"}
@@ -61,12 +61,12 @@ def test_stages_move_a_month_to_consumed(store, upstream, two_articles, config):
     # the read side
     assert reports.select_month(store.read("monthly_overview"), "1999-01").first()[0] == MARCH
     home = reports.home_report(store.all(), MARCH)
-    assert home["top_keywords"].first()["label"] == "Santiago del Estero"
+    assert home["top_keywords"].first()["label"] == "Bahía Larga"
     assert [r.alias for r in home["sources"].collect()] == ["Fuente 1", "Fuente 2"]
-    topic = reports.topic_report(store.all(), MARCH, "conflicto%20docente")
-    assert topic["keyword"] == "Paro docente" or topic["normalized_keyword"]
-    topic = reports.topic_report(store.all(), MARCH, "Paro Docente", order="recent", source="fuente-1")
-    assert topic["keyword"] == "Paro docente"
+    topic = reports.topic_report(store.all(), MARCH, "falla%20general")
+    assert topic["keyword"] == "Corte de luz" or topic["normalized_keyword"]
+    topic = reports.topic_report(store.all(), MARCH, "Corte De Luz", order="recent", source="fuente-1")
+    assert topic["keyword"] == "Corte de luz"
     assert [r.id for r in topic["news"].collect()] == [1]
     assert topic["overview"].first()["news_count"] == 2
     with pytest.raises(LookupError):
@@ -77,9 +77,9 @@ def test_late_articles_reopen_and_match_a_full_rebuild(store, upstream, two_arti
     pipeline.run_incremental(store, upstream(*two_articles), config, NOW, extractors=FAST)
     later = NOW + dt.timedelta(days=40)
     late = (
-        article(3, "Fuente C", "Nuevo paro docente", BODY_1, dt.datetime(2024, 3, 2), later),
+        article(3, "Fuente C", "Nuevo corte de luz", BODY_1, dt.datetime(2024, 3, 2), later),
         # the title and the month of a known article change
-        article(2, "Fuente B", "La Banda: otra nota", "", dt.datetime(2024, 4, 20, 12), later),
+        article(2, "Fuente B", "El Remanso: otra nota", "", dt.datetime(2024, 4, 20, 12), later),
     )
     done = pipeline.run_incremental(store, upstream(*late), config, later, extractors=FAST, skip_existing=False)
     assert done["synced"] == 2 and done["periods"] == 2 and done["built"] == 2
@@ -99,10 +99,10 @@ def test_late_articles_reopen_and_match_a_full_rebuild(store, upstream, two_arti
 
 
 def test_moving_the_only_article_of_a_month_empties_it(store, upstream, config):
-    first = article(1, "A", "Paro docente", "", dt.datetime(2024, 1, 5))
+    first = article(1, "A", "Corte de luz", "", dt.datetime(2024, 1, 5))
     pipeline.run_incremental(store, upstream(first), config, NOW, extractors=FAST)
     later = NOW + dt.timedelta(days=40)
-    moved = article(1, "A", "Paro docente", "", dt.datetime(2024, 2, 5), later)
+    moved = article(1, "A", "Corte de luz", "", dt.datetime(2024, 2, 5), later)
     pipeline.run_incremental(store, upstream(moved), config, later, extractors=FAST, skip_existing=False)
     assert [r.month_start for r in store.read("raw_news").collect()] == [dt.date(2024, 2, 1)]
     assert {r.month_start for r in store.read("news_keywords").collect()} == {dt.date(2024, 2, 1)}
@@ -111,11 +111,11 @@ def test_moving_the_only_article_of_a_month_empties_it(store, upstream, config):
 @pytest.mark.parametrize("skip_existing", [True, False])
 def test_a_moved_article_is_counted_in_its_new_month_only(store, upstream, config, skip_existing):
     only = ("dictionary",)
-    stays = article(1, "A", "Paro docente", "", dt.datetime(2024, 3, 5))
-    moves = article(2, "B", "Paro docente", "", dt.datetime(2024, 3, 6))
+    stays = article(1, "A", "Corte de luz", "", dt.datetime(2024, 3, 5))
+    moves = article(2, "B", "Corte de luz", "", dt.datetime(2024, 3, 6))
     pipeline.run_incremental(store, upstream(stays, moves), config, NOW, extractors=only)
     later = NOW + dt.timedelta(days=40)
-    moved = article(2, "B", "Paro docente", "", dt.datetime(2024, 4, 6), later)
+    moved = article(2, "B", "Corte de luz", "", dt.datetime(2024, 4, 6), later)
     done = pipeline.run_incremental(store, upstream(moved), config, later, extractors=only, skip_existing=skip_existing)
     assert (done["synced"], done["built"]) == (1, 2)
     assert set(statuses(store).values()) == {"consumed"}
@@ -164,11 +164,11 @@ def test_resume_skips_processed_articles_even_without_keywords(store, upstream,
 def test_newly_omitted_keywords_are_pruned(store, upstream, two_articles, config):
     pipeline.run_sync(store, upstream(*two_articles), NOW)
     pipeline.run_extract(store, config, NOW, period=MARCH, extractors=FAST)
-    stricter = KeywordConfig(config.entries, config.omitted | {"la banda"})
-    assert store.read("news_keywords").filter("normalized_keyword = 'la banda'").count() > 0
+    stricter = KeywordConfig(config.entries, config.omitted | {"el remanso"})
+    assert store.read("news_keywords").filter("normalized_keyword = 'el remanso'").count() > 0
     pipeline.run_extract(store, stricter, NOW, period=MARCH, extractors=FAST)
-    assert store.read("news_keywords").filter("normalized_keyword = 'la banda'").count() == 0
-    assert store.read("monthly_keyword_stats").filter("normalized_keyword = 'la banda'").count() == 0
+    assert store.read("news_keywords").filter("normalized_keyword = 'el remanso'").count() == 0
+    assert store.read("monthly_keyword_stats").filter("normalized_keyword = 'el remanso'").count() == 0
 
 
 def test_failed_run_is_recorded(store, upstream, two_articles):
@@ -217,7 +217,7 @@ def test_totals_agree_between_tables(store, upstream, two_articles, config):
     total = store.read("monthly_overview").first()["total_news"]
     assert total == store.read("daily_activity").agg(F.sum("news_count")).first()[0]
     assert total == store.read("source_monthly_stats").agg(F.sum("news_count")).first()[0]
-    row = store.read("monthly_keyword_stats").filter("normalized_keyword = 'paro docente'").first()
+    row = store.read("monthly_keyword_stats").filter("normalized_keyword = 'corte de luz'").first()
     assert row.source_media_stats == {"Fuente A": 1, "Fuente B": 1} and row.priority == 8
     assert stats.daily_activity(store.read("raw_news")).count() == 2
 

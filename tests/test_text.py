@@ -25,7 +25,7 @@ def expected_query(value):
 
 def test_normalize_cases(spark):
     cases = {
-        "Santiago del Estero": "santiago del estero", "  ¡Hola,   Mundo!  ": "hola mundo", "niño": "nino",
+        "Bahía Larga": "bahia larga", "  ¡Hola,   Mundo!  ": "hola mundo", "niño": "nino",
         "bien-estar": "bien-estar", "": "", "¿Cómo estás?": "como estas", "Straße_1 ½ ﬁn №5 한글": expected_normal("Straße_1 ½ ﬁn №5 한글"),
         "ΟΔΟΣ Ϲ": expected_normal("ΟΔΟΣ Ϲ"),
     }
@@ -53,8 +53,8 @@ def test_two_normalizers_differ_where_they_should(spark):
 
 
 def test_clean_keeps_case_and_punctuation(spark):
-    values = ["  La   Banda  ", "", None, "  ¡Hola,\t\n Mundo!  ", "a\x1cb c\x85"]
-    assert apply(spark, text.clean_text, values) == ["La Banda", "", "", "¡Hola, Mundo!", "a b c"]
+    values = ["  El   Remanso  ", "", None, "  ¡Hola,\t\n Mundo!  ", "a\x1cb c\x85"]
+    assert apply(spark, text.clean_text, values) == ["El Remanso", "", "", "¡Hola, Mundo!", "a b c"]
 
 
 def test_document_joins_title_and_whole_body(spark):
@@ -69,7 +69,7 @@ def test_document_joins_title_and_whole_body(spark):
 
 def test_alias_count(spark):
     cases = [
-        ("paro docente y parodocente", "paro docente", 1), ("paro docente paro docente", "paro docente", 2),
+        ("corte de luz y recorte de luz", "corte de luz", 1), ("corte de luz corte de luz", "corte de luz", 2),
         ("bien-estar y bien estar", "bien estar", 1), ("bien-estar y bien estar", "estar", 2),
         ("the the the", "the the", 1), ("", "x", 0),
     ]
