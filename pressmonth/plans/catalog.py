@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, text, web
 from ..operators import (
-    aliases, clusters, entities, hits, ingest, keyphrases, map2d, matching, periods, quality, semantic, stats, trends,
+    aliases, clusters, entities, hits, ingest, keyphrases, map2d, matching, neighbours, periods, quality, related, semantic,
+    stats, trends,
 )
 from ..operators.upsert import upsert
 from ..sources import dictionary as dic
@@ -28,6 +29,7 @@ SOURCE_KEY = "fuente-2"
 REQUESTS = ("thtion", "attion to", "the eriner thanea of", "hanedbl", "src", "zzz unknown", "and therhean is the")
 PAGE = (200, 100)  # rows, offset
 CLUSTERS = 3  # in each month
+ASKED_EVERY = 50  # of the articles, for their neighbours
 HIT_COLUMNS = (
     "raw_noticia_id", "keyword", "normalized_keyword", "canonical_keyword", "normalized_canonical_keyword",
     "keyword_type", "extractor_source", "score", "occurrences",
@@ -807,3 +809,33 @@ def cluster_representatives(spark, sf):
 @query
 def map_2d(spark, sf):
     return map2d.map_2d(news(spark, sf, "id", "embedding"))
+
+
+def _index(spark, sf):
+    """The index of all articles, and every fiftieth article with an embedding as the ones asked about."""
+    index = computed_once(neighbours.hyperplane_index(news(spark, sf, "id", "embedding")))
+    return index, index.filter(F.col("id") % ASKED_EVERY == 0)
+
+
+@query
+def nearest_many(spark, sf):
+    return neighbours.nearest_many(*_index(spark, sf))
+
+
+@query
+def nearest_recall(spark, sf):
+    """What the index finds of the neighbours by full comparison."""
+    return neighbours.recall(*_index(spark, sf))
+
+
+@query
+def related_classes(spark, sf):
+    """Keywords of a month that occur in exactly the same articles."""
+    return related.keyword_classes(related.presence(_hits(spark, sf)))
+
+
+@query
+def related_links(spark, sf):
+    """Every two classes of a month that share enough articles."""
+    present = computed_once(related.presence(_hits(spark, sf)))
+    return related.keyword_links(present, computed_once(related.keyword_classes(present)))

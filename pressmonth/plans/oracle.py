@@ -6,9 +6,9 @@ import re
 
 from ..functions.dates import MONTH_NAMES
 from ..functions.web import HTTP_URL
-from ..operators import clusters, map2d, quality
+from ..operators import clusters, map2d, neighbours, quality
 from ..operators.keyphrases import STOPWORDS
-from .catalog import CLUSTERS, MONTH, PAGE, REQUESTS, SOURCE_KEY, TOPIC, config
+from .catalog import ASKED_EVERY, CLUSTERS, MONTH, PAGE, REQUESTS, SOURCE_KEY, TOPIC, config
 
 CONFIG = config()
 NOW = "TIMESTAMP '2024-01-04 00:00:00'"
@@ -669,6 +669,23 @@ _SELECTS: dict[str, str] = {
               FROM (SELECT DISTINCT month_start FROM tdaily)) d LEFT JOIN tdaily t USING (month_start, activity_date)""",
     "keyword_weekly": """SELECT CAST(date_trunc('week', activity_date) AS DATE) AS week_start,
         CAST(sum(news_count) AS INT) AS news_count FROM tdaily GROUP BY ALL""",
+    "related_classes": """
+        SELECT month_start, normalized_keyword AS keyword, n AS articles,
+          min(normalized_keyword) OVER (PARTITION BY month_start, articles) AS class
+        FROM (SELECT month_start, normalized_keyword, count(DISTINCT raw_noticia_id) AS n,
+                string_agg(DISTINCT raw_noticia_id, ',' ORDER BY raw_noticia_id) AS articles
+              FROM hits GROUP BY month_start, normalized_keyword)""",
+    "related_links": """
+        SELECT a.month_start, a.keyword, b.keyword AS related, len(list_intersect(a.articles, b.articles)) AS shared,
+          round(len(list_intersect(a.articles, b.articles)) / (len(a.articles) + len(b.articles) - len(list_intersect(a.articles, b.articles))), 6) AS jaccard
+        FROM (SELECT month_start, min(keyword) AS keyword, articles FROM (
+                SELECT month_start, normalized_keyword AS keyword, list(DISTINCT raw_noticia_id ORDER BY raw_noticia_id) AS articles
+                FROM hits GROUP BY month_start, normalized_keyword) GROUP BY month_start, articles) a
+        JOIN (SELECT month_start, min(keyword) AS keyword, articles FROM (
+                SELECT month_start, normalized_keyword AS keyword, list(DISTINCT raw_noticia_id ORDER BY raw_noticia_id) AS articles
+                FROM hits GROUP BY month_start, normalized_keyword) GROUP BY month_start, articles) b
+          ON a.month_start = b.month_start AND a.keyword < b.keyword AND list_has_any(a.articles, b.articles)
+        WHERE 100 * shared >= 50 * (len(a.articles) + len(b.articles) - shared)""",
     "nearest_articles": """
         SELECT n.id, round(list_cosine_similarity(CAST(n.embedding AS DOUBLE[]), CAST(t.embedding AS DOUBLE[])), 6) AS similarity
         FROM news n, (SELECT embedding FROM news WHERE id = 7) t WHERE n.embedding IS NOT NULL AND n.id <> 7
@@ -761,6 +778,30 @@ MAP_2D = f"""WITH points AS MATERIALIZED (
 )
 SELECT id, {_place("first")} AS x, {_place("second")} AS y FROM points, first, second, middle"""
 
+_NEIGHBOURS = f"""WITH points AS MATERIALIZED (
+  SELECT doc_id AS id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 65536) AS BIGINT)) AS v
+  FROM documents JOIN embeddings ON vec_id = doc_id WHERE embedding IS NOT NULL
+), cells AS (SELECT id, place, v[place + 1] AS x FROM points, unnest(range(0, len(v))) AS u(place)
+), planes AS MATERIALIZED (
+  SELECT t, b, i, CASE WHEN md5(t || ':' || b || ':' || i)[1] < '8' THEN 1 ELSE -1 END AS weight
+  FROM unnest(range(0, {neighbours.TABLES})) AS x(t), unnest(range(0, {neighbours.BITS})) AS y(b),
+    unnest(range(0, (SELECT max(len(v)) FROM points))) AS z(i)
+), signs AS (SELECT id, t, b, sum(x * weight) >= 0 AS side FROM cells JOIN planes ON i = place GROUP BY id, t, b
+), buckets AS MATERIALIZED (SELECT id, t, list(side ORDER BY b) AS bucket FROM signs GROUP BY id, t
+), lengths AS MATERIALIZED (SELECT id, v, sqrt(CAST({_dot("v", "v")} AS DOUBLE)) AS l FROM points
+), compared AS MATERIALIZED (
+  SELECT a.id AS asked_id, b.id, round(CAST({_dot("a.v", "b.v")} AS DOUBLE) / (a.l * b.l), 6) AS similarity
+  FROM lengths a JOIN lengths b ON a.id <> b.id AND a.id % {ASKED_EVERY} = 0
+), met AS (
+  SELECT DISTINCT a.id AS asked_id, b.id FROM buckets a JOIN buckets b USING (t, bucket) WHERE a.id <> b.id AND a.id % {ASKED_EVERY} = 0
+), near AS (
+  SELECT asked_id, id, similarity, row_number() OVER (PARTITION BY asked_id ORDER BY similarity DESC, id) AS rn
+  FROM compared JOIN met USING (asked_id, id) QUALIFY rn <= 10
+), wanted AS (
+  SELECT asked_id, id FROM compared QUALIFY row_number() OVER (PARTITION BY asked_id ORDER BY similarity DESC, id) <= 10
+)
+"""
+
 ORACLES: dict[str, str] = {name: sql(select) for name, select in _SELECTS.items()} | {
     "monthly_clusters": _clusters(clusters.STEPS) + """
 SELECT month_start, cluster, count(*) AS news_count, max(distance) AS farthest FROM assigned GROUP BY month_start, cluster""",
@@ -768,4 +809,7 @@ SELECT month_start, cluster, count(*) AS news_count, max(distance) AS farthest F
 SELECT month_start, cluster, id, distance, CAST(row_number() OVER (PARTITION BY month_start, cluster ORDER BY distance, id) AS INT) AS rn
 FROM assigned QUALIFY rn <= 3""",
     "map_2d": MAP_2D,
+    "nearest_many": _NEIGHBOURS + "SELECT asked_id, id, similarity, CAST(rn AS INT) AS rn FROM near",
+    "nearest_recall": _NEIGHBOURS + """SELECT count(*) AS wanted, count(near.id) AS found, round(count(near.id) / count(*), 6) AS recall
+FROM wanted LEFT JOIN near USING (asked_id, id)""",
 }

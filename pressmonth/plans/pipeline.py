@@ -85,26 +85,25 @@ def run_sync(
         columns = upstream.select(*ingest.SOURCE_COLUMNS)
         batch = ingest.valid_news(columns) if full else ingest.incremental_news(columns, now, lookback_hours)
         prepared = ingest.prepare_batch(batch, now).withColumn("month_start", month_start(F.col("fecha_publicacion")))
-        staged = store.stage(run.run_id, "batch", prepared)
-        run.rows_detected = staged.count()
+        staged, seen = store.stage_measured(run.run_id, "batch", prepared, written=F.count(F.lit(1)))
+        run.rows_detected = seen["written"]
         if run.rows_detected:
             stored = store.read("raw_news")
             to = staged.select("noticia_hash", F.col("month_start").alias("new_month"))
             known = stored.select("noticia_hash", "month_start").join(to, "noticia_hash")
-            left = store.stage(run.run_id, "left", known.filter(
+            left, gone = store.stage_measured(run.run_id, "left", known.filter(
                 ~F.col("month_start").eqNullSafe(F.col("new_month"))
-            ).groupBy("month_start").agg(F.count(F.lit(1)).alias("rows_detected")))
+            ).groupBy("month_start").agg(F.count(F.lit(1)).alias("rows_detected")), dated=F.count("month_start"))
             months = sorted({*month_values(staged), *month_values(left)}, key=str)
             # before the articles move, so that a run that dies in between is made up for by the next one
-            _reopen(store, left.filter("month_start IS NOT NULL"), run.run_id, now)
+            if gone["dated"]:
+                _reopen(store, left.filter("month_start IS NOT NULL"), run.run_id, now)
             store.replace_months("raw_news", ingest.news_upsert(stored.filter(in_months(months)), staged, now), months)
     return run.rows_detected
 
 
 def _reopen(store: TableStore, months: DataFrame, run_id: str, now: dt.datetime) -> None:
     """Mark months as pending that a sync took articles from."""
-    if months.isEmpty():
-        return
     found = months.select(
         "month_start", F.year("month_start").alias("year"), F.month("month_start").alias("month"), "rows_detected"
     )
@@ -121,11 +120,10 @@ def run_detect(
     _positive("lookback_hours", None if full else lookback_hours)
     mode = "full" if full else ("fecha_extraccion" if from_extraction_date else "synced_at")
     with processing_run(store, "detect", now, full, lookback_hours, f"detect affected periods by {mode}") as run:
-        found = store.stage(
-            run.run_id, "periods",
-            periods.affected_periods(store.read("raw_news"), mode, now, lookback_hours),
+        found, total = store.stage_measured(
+            run.run_id, "periods", periods.affected_periods(store.read("raw_news"), mode, now, lookback_hours),
+            periods=F.count(F.lit(1)), rows_detected=F.sum("rows_detected"),
         )
-        total = periods.run_summary(found).first()
         run.rows_detected = total["rows_detected"]
         if total["periods"]:
             state = periods.upsert_periods(
@@ -196,14 +194,14 @@ def run_extract(
         if by_state:
             _mark(store, months, "processing", now)
         news = selected(months)
-        hits = store.stage(run.run_id, "hits", hits_of(news))
+        hits, found = store.stage_measured(run.run_id, "hits", hits_of(news), written=F.count(F.lit(1)))
         per_article = hits.groupBy(F.col("raw_noticia_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-        markers = store.stage(run.run_id, "markers", news.select("id", "month_start").join(per_article, "id", "left").select(
+        markers, marked = store.stage_measured(run.run_id, "markers", news.select("id", "month_start").join(per_article, "id", "left").select(
             F.col("id").alias("raw_noticia_id"), "month_start", F.lit("completed").alias("status"),
             F.coalesce("n", F.lit(0)).cast("int").alias("keyword_rows"),
             F.lit(run.run_id).alias("updated_from_run_id"), F.lit(now).cast("timestamp_ntz").alias("processed_at"),
-        ))
-        run.rows_detected = markers.count()
+        ), written=F.count(F.lit(1)))
+        run.rows_detected = marked["written"]
         touched = set(months)
         for table, fresh in (("news_keywords", hits), ("news_keyword_processing", markers)):
             touched.update(_replace_articles(store, table, fresh, markers, months, reset_period, config))
@@ -214,7 +212,7 @@ def run_extract(
         )
         if by_state:
             _mark(store, months, "completed", now)
-        return hits.count()
+        return found["written"]
 
 
 def _replace_articles(

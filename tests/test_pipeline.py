@@ -228,3 +228,12 @@ def test_a_requested_month_without_articles_is_reported_empty(store, upstream, t
     row = store.read("monthly_overview").first()
     assert (row.month_start, row.total_news, row.top_keywords) == (dt.date(2020, 2, 1), 0, [])
     assert reports.month_list(store.read("monthly_overview")).count() == 0
+
+
+def test_writes_measure_themselves(store, spark):
+    rows = spark.range(7).select(F.col("id"), F.when(F.col("id") < 3, F.col("id")).alias("some"))
+    figures = {"written": F.count(F.lit(1)), "some": F.count("some"), "total": F.sum("id")}
+    staged, seen = store.stage_measured("run", "seven", rows, **figures)
+    assert seen == {"written": 7, "some": 3, "total": 21} and staged.count() == 7
+    for nothing in (rows.filter("id > 9"), spark.createDataFrame([], rows.schema)):
+        assert store.stage_measured("run", f"none{nothing.schema}"[:4], nothing, **figures)[1] == {"written": 0, "some": 0, "total": 0}
