@@ -332,15 +332,52 @@ def omit_filter(spark, sf):
     return _flat(hits.filter_omitted(found, config().omitted_df(spark)), *HIT_COLUMNS)
 
 
+# Addresses to be told apart; the page's number follows.
+ADDRESSES = (
+    'http://256.1.1.1/',
+    'http://0x7f.1/',
+    'http://1.2.3.4.5/',
+    'http://www.site.example:65535/',
+    'http://www.site.example:65536/',
+    'http://%77ww.site.example/',
+    'http://a%2Fb.example/',
+    'http://[::1]/',
+    'http://[1::2::3]/',
+    'http://user:pw@www.site.example/',
+    'http://user@/',
+    'http:\\\\www.site.example\\',
+    'http://ex ample.example/',
+    ' \t http://www.site.example:/',
+    'http://www.site.example:8a/',
+    'http://1.2.3/',
+    'http://09.1/',
+    'http://[::ffff:1.2.3.4]/',
+    'http://[::1.2.3.256]/',
+    'http://exa%zzmple/',
+    'http:www.site.example/',
+    'http://4294967295/',
+    'http://4294967296/',
+    'http://a.0x/',
+    'http://[1:2:3:4:5:6:7:8]/',
+    'http://[1:2:3:4:5:6:7]/',
+    'http://[12345::]/',
+    'http://a|b.example/',
+    'http://ñandú.example/',
+    'http://www.site.example./',
+    'http://1..2/',
+)
+
+
 @query
 def valid_urls(spark, sf):
-    """Page links, and the same links with another scheme, without a host, and without a scheme."""
+    """Page links, the links with another scheme, without host or scheme, and addresses with odd hosts and ports."""
     url = F.col("url")
     variants = F.inline(F.array(*[
         F.struct(F.lit(i).alias("variant"), v.alias("value"))
         for i, v in enumerate((
             url, F.upper(url), F.regexp_replace(url, "^https?", "ftp"), F.regexp_replace(url, "^(https?:).*", "$1//"),
             F.regexp_replace(url, "^https?://", ""), F.regexp_replace(url, r"^https?://", "javascript:"), F.lit(""),
+            *[F.concat(F.lit(a), F.col("page_id").cast("string")) for a in ADDRESSES],
         ))
     ]))
     return table(spark, sf, "pages").select("page_id", variants).select(
@@ -743,6 +780,28 @@ def domain_violations(spark, sf):
     })
 
 
+@query
+def constraint_report(spark, sf):
+    """The declared constraints held against tables made of vectors, orders and nations, which break many of them."""
+    status = F.element_at(F.array(*map(F.lit, ("completed", "failed", "unknown"))), F.col("label") % 3 + 1)
+    orders = table(spark, sf, "orders")
+    return quality.constraint_report({
+        "raw_news": news(spark, sf, "id", "noticia_hash", "titulo", "url_original", "fuente").withColumn(
+            "titulo", F.when(F.col("id") % 7 > 0, F.col("titulo"))),
+        "news_keyword_processing": table(spark, sf, "embeddings").select(
+            (F.col("vec_id") * 3).alias("raw_noticia_id"), status.alias("status"),
+            F.concat(F.lit("run-"), F.col("label").cast("string")).alias("updated_from_run_id")),
+        "affected_periods": orders.select(
+            F.concat(F.lit("run-"), (F.col("o_custkey") % 6).cast("string")).alias("processing_run_id"),
+            (F.month("o_orderdate") + (F.col("o_orderkey") % 2).cast("int")).alias("month"), F.trunc("o_orderdate", "MM").alias("month_start"),
+            F.when(F.col("o_orderstatus") == "F", "failed").when(F.col("o_orderstatus") == "O", "open").alias("status"),
+            F.col("o_orderpriority").alias("reason")),
+        "processing_runs": table(spark, sf, "nation").select(
+            F.concat(F.lit("run-"), F.col("n_regionkey").cast("string")).alias("run_id"), F.lit("running").alias("status"),
+            F.when(F.col("n_nationkey") % 2 == 0, "full").otherwise("weekly").alias("run_type")),
+    })
+
+
 # --- trends -------------------------------------------------------------------------------------------
 
 

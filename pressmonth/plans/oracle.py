@@ -5,10 +5,9 @@ from __future__ import annotations
 import re
 
 from ..functions.dates import MONTH_NAMES
-from ..functions.web import HTTP_URL
 from ..operators import clusters, map2d, neighbours, quality
 from ..operators.keyphrases import STOPWORDS
-from .catalog import ASKED_EVERY, CLUSTERS, MONTH, PAGE, REQUESTS, SOURCE_KEY, TOPIC, config
+from .catalog import ADDRESSES, ASKED_EVERY, CLUSTERS, MONTH, PAGE, REQUESTS, SOURCE_KEY, TOPIC, config
 
 CONFIG = config()
 NOW = "TIMESTAMP '2024-01-04 00:00:00'"
@@ -419,8 +418,11 @@ _URLS = ", ".join(
     f"({i}, {v})" for i, v in enumerate((
         "url", "upper(url)", "regexp_replace(url, '^https?', 'ftp')", r"regexp_replace(url, '(?s)^(https?:).*', '\1//')",
         "regexp_replace(url, '^https?://', '')", "regexp_replace(url, '^https?://', 'javascript:')", "''",
+        *[f"{q(a)} || page_id" for a in ADDRESSES],
     ))
 )
+# The variants that are addresses a browser opens.
+OPENED = (0, 1, 8, 10, 12, 14, 16, 18, 20, 22, 24, 27, 28, 31, 35, 36)
 _DOMAIN_SOURCES = {
     "affected_periods": "(SELECT status, month FROM state UNION ALL SELECT event_type, CAST(month(ts) AS INT) FROM events)",
     "processing_runs": "(SELECT lower(o_orderstatus) AS status, 'full' AS run_type FROM orders)",
@@ -497,7 +499,7 @@ _SELECTS: dict[str, str] = {
         UNION ALL SELECT 'unknown', max(month_start) FROM dated""",
     "omit_filter": f"SELECT {HIT} FROM all_hits WHERE normalized_keyword NOT IN (SELECT normalized_keyword FROM omitted)",
     "valid_urls": f"""
-        SELECT page_id, CAST(variant AS INT) AS variant, CASE WHEN regexp_matches(value, {q(HTTP_URL)}) THEN value END AS url
+        SELECT page_id, CAST(variant AS INT) AS variant, CASE WHEN variant IN {OPENED} THEN value END AS url
         FROM pages, LATERAL (SELECT * FROM (VALUES {_URLS}) t(variant, value)) u""",
     "unprocessed_news": """
         SELECT id, fuente, fecha_publicacion FROM news
@@ -802,6 +804,55 @@ _NEIGHBOURS = f"""WITH points AS MATERIALIZED (
 )
 """
 
+# Every rule spelt out: table, rule, and what breaks it.
+_BROKEN = {
+    ("raw_news", "required noticia_hash"): ("news", "noticia_hash IS NULL", "noticia_hash"),
+    ("raw_news", "required titulo"): ("news", "id % 7 = 0 OR titulo IS NULL", "CAST(NULL AS VARCHAR)"),
+    ("raw_news", "required url_original"): ("news", "url_original IS NULL", "url_original"),
+    ("raw_news", "required fuente"): ("news", "fuente IS NULL", "fuente"),
+    ("news_keyword_processing", "required raw_noticia_id"): ("marks", "raw_noticia_id IS NULL", "raw_noticia_id"),
+    ("news_keyword_processing", "domain status"): ("marks", "status NOT IN ('completed', 'failed')", "status"),
+    ("affected_periods", "required month_start"): ("terms", "month_start IS NULL", "month_start"),
+    ("affected_periods", "required reason"): ("terms", "reason IS NULL", "reason"),
+    ("affected_periods", "required status"): ("terms", "status IS NULL", "status"),
+    ("affected_periods", "domain status"): (
+        "terms", "status NOT IN ('pending', 'processing', 'completed', 'consumed', 'failed', 'skipped')", "status"),
+    ("affected_periods", "domain month"): ("terms", "month NOT BETWEEN 1 AND 12", "month"),
+    ("processing_runs", "required run_id"): ("runs", "run_id IS NULL", "run_id"),
+    ("processing_runs", "required status"): ("runs", "status IS NULL", "status"),
+    ("processing_runs", "domain run_type"): ("runs", "run_type NOT IN ('full', 'incremental')", "run_type"),
+    ("processing_runs", "domain status"): ("runs", "status NOT IN ('running', 'completed', 'failed')", "status"),
+    ("raw_news", "unique noticia_hash"): ("(SELECT noticia_hash FROM news GROUP BY ALL HAVING count(*) > 1)", "true", "noticia_hash"),
+    ("news_keyword_processing", "unique raw_noticia_id"): (
+        "(SELECT raw_noticia_id FROM marks GROUP BY ALL HAVING count(*) > 1)", "true", "raw_noticia_id"),
+    ("affected_periods", "unique month_start, reason"): (
+        "(SELECT month_start, reason FROM terms GROUP BY ALL HAVING count(*) > 1)", "true", "month_start || '|' || reason"),
+    ("processing_runs", "unique run_id"): ("(SELECT run_id FROM runs GROUP BY ALL HAVING count(*) > 1)", "true", "run_id"),
+    ("affected_periods", "reference processing_run_id to processing_runs.run_id"): (
+        "terms", "processing_run_id NOT IN (SELECT run_id FROM runs)", "processing_run_id"),
+    ("news_keyword_processing", "reference updated_from_run_id to processing_runs.run_id"): (
+        "marks", "updated_from_run_id NOT IN (SELECT run_id FROM runs)", "updated_from_run_id"),
+    ("news_keyword_processing", "reference raw_noticia_id to raw_news.id"): (
+        "marks", "raw_noticia_id NOT IN (SELECT id FROM news)", "raw_noticia_id"),
+}
+_CONSTRAINTS = """WITH news AS (
+  SELECT doc_id AS id, md5(CAST(doc_id AS VARCHAR)) AS noticia_hash, split_part(text, chr(10), 1) AS titulo, source AS fuente,
+    'https://' || source || '.example/' || doc_id AS url_original FROM documents
+), marks AS (
+  SELECT vec_id * 3 AS raw_noticia_id, ['completed', 'failed', 'unknown'][label % 3 + 1] AS status, 'run-' || label AS updated_from_run_id
+  FROM embeddings
+), terms AS (
+  SELECT 'run-' || (o_custkey % 6) AS processing_run_id, month(o_orderdate) + o_orderkey % 2 AS month, o_orderpriority AS reason,
+    CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start,
+    CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'O' THEN 'open' END AS status FROM orders
+), runs AS (
+  SELECT 'run-' || n_regionkey AS run_id, 'running' AS status, CASE WHEN n_nationkey % 2 = 0 THEN 'full' ELSE 'weekly' END AS run_type FROM nation
+)
+""" + " UNION ALL ".join(
+    f"SELECT {q(table)} AS table_name, {q(rule)} AS rule, count(*) AS violations, min(CAST({example} AS VARCHAR)) AS example FROM {rows} WHERE {where}"
+    for (table, rule), (rows, where, example) in _BROKEN.items()
+)
+
 ORACLES: dict[str, str] = {name: sql(select) for name, select in _SELECTS.items()} | {
     "monthly_clusters": _clusters(clusters.STEPS) + """
 SELECT month_start, cluster, count(*) AS news_count, max(distance) AS farthest FROM assigned GROUP BY month_start, cluster""",
@@ -809,6 +860,7 @@ SELECT month_start, cluster, count(*) AS news_count, max(distance) AS farthest F
 SELECT month_start, cluster, id, distance, CAST(row_number() OVER (PARTITION BY month_start, cluster ORDER BY distance, id) AS INT) AS rn
 FROM assigned QUALIFY rn <= 3""",
     "map_2d": MAP_2D,
+    "constraint_report": _CONSTRAINTS,
     "nearest_many": _NEIGHBOURS + "SELECT asked_id, id, similarity, CAST(rn AS INT) AS rn FROM near",
     "nearest_recall": _NEIGHBOURS + """SELECT count(*) AS wanted, count(near.id) AS found, round(count(near.id) / count(*), 6) AS recall
 FROM wanted LEFT JOIN near USING (asked_id, id)""",

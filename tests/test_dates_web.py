@@ -33,6 +33,16 @@ def test_only_http_links_pass(spark):
     assert column(spark, web.http_url, good + bad) == good + [None] * len(bad)
 
 
+def test_hosts_are_judged_like_a_browser(spark):
+    good = ["http://127.1", "http://0300.0250.1", "http://0x", "http://1.2.3.4.", "http://[1::]", "http://[::]:0", "http://a:00080/",
+            "http://h%C3%A9.example", "http:/\\a.example", "http:a", "ht\ntp://a.example", "http://a_b-c.example/?@:", "http://u@v@h/"]
+    bad = ["http://1.2.3.999999", "http://1.256.1.1", "http://a.b.08", "http://1.2..3", "http://[::g]", "http://[1:2:3:4:5:6:7:8:9]",
+           "http://[1::2:3:4:5:6:7:8]", "http://[::1.2.3]", "http://[::01.2.3.4]", "http://[", "http://[::1", "http://[::1]x/",
+           "http://a:99999", "http://a:-1", "http://%00", "http://a%", "http://%FF", "https:", "http://99999999999999999999", "http://."]
+    got = column(spark, web.http_url, good + bad)
+    assert got[: len(good)] == good and [b for b, g in zip(bad, got[len(good):]) if g is not None] in ([], ["http://."])
+
+
 def test_decoding_tolerates_malformed_input(spark):
     given = ["corte%20de%20luz", "%zz a ", "a+b", "%C3%B1", "%FF", " x "]
     assert column(spark, web.decode_keyword, given) == ["corte de luz", "%zz a", "a+b", "ñ", "%FF", "x"]

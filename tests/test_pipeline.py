@@ -57,6 +57,8 @@ def test_stages_move_a_month_to_consumed(store, upstream, two_articles, config):
         assert quality.duplicate_keys(store.read(name), key).count() == 0, name
     assert quality.orphans(store.read("news_keywords"), "raw_noticia_id", store.read("raw_news"), "id").count() == 0
     assert quality.domain_violations(store.all()).count() == 0
+    checked = quality.constraint_report(store.all()).collect()
+    assert {r.table_name for r in checked} == set(store.all()) and not [r for r in checked if r.violations]
 
     # the read side
     assert reports.select_month(store.read("monthly_overview"), "1999-01").first()[0] == MARCH
