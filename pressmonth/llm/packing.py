@@ -40,7 +40,8 @@ END_ID = 1
 SENTENCE_PENALTY = 4
 GRID_PENALTY = 24
 GRID = 32  # places offered inside a stretch of more than twice as many tokens without a sentence end
-CACHE_WORDS = 250_000  # bounds a worker's memory; forgotten words are tokenized again
+CACHE_WORDS = 250_000  # bounds a worker's memory; words not met among the last half of so many are tokenized again
+SLICE_TEXT = 6 << 20  # bytes of text handled at once
 
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed by the vocabulary
 _PLAIN = regex.compile(r"[\x21-\x7eÀ-ɏ]*")
@@ -52,29 +53,39 @@ class ChunkTokens:
     """Ids of texts by their space-separated chunks: no word of this vocabulary crosses white space.
 
     The distinct chunks of a slice are found by Arrow, split into the vocabulary's words, and only words not yet
-    seen by this worker reach the tokenizer; ids are then gathered by numpy.
+    seen by this worker reach the tokenizer; ids are then gathered by numpy.  Known words are kept in two generations:
+    when the younger is full it becomes the older one, from which words still in use are taken over.
     """
 
     def __init__(self, tokenizer_file: str):
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._forget()
-
-    def _forget(self) -> None:
         self.word: dict[str, int] = {}
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.first = np.zeros(1, np.int64)  # of each word, and the end of the last
+        self.ids, self.first = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)  # of each word, and the end of the last
+        self._grow_old()
+
+    def _grow_old(self) -> None:
+        self.old_word, self.old_ids, self.old_first = self.word, self.ids, self.first
+        self.word, self.ids, self.first = {}, np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        sizes = np.bincount(np.array(coded.word_ids, np.int64), minlength=len(words))
-        known = len(self.word)
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        known, used = len(self.word), int(self.first[-1])
         self.word.update(zip(words, range(known, known + len(words))))
-        self.first = np.append(self.first, self.first[-1] + np.cumsum(sizes))
+        self.first = np.append(self.first, used + np.cumsum(sizes))
         while self.first[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.first[-1]] = coded.ids
-        self.used = int(self.first[-1])
+        self.ids[used : self.first[-1]] = ids
+
+    def _learn(self, missing: set[str]) -> None:
+        again = list(missing & self.old_word.keys())
+        if again:
+            old = np.fromiter(map(self.old_word.__getitem__, again), np.int64, len(again))
+            sizes = self.old_first[old + 1] - self.old_first[old]
+            self._add(again, self.old_ids[_ranges(self.old_first[old], sizes)], sizes)
+        words = list(missing - self.old_word.keys())
+        if words:
+            coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+            self._add(words, coded.ids, np.bincount(np.array(coded.word_ids, np.int64), minlength=len(words)))
 
     def _words_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all chunks, flat, and how many each has."""
@@ -93,15 +104,15 @@ class ChunkTokens:
             else:
                 flat.append(chunk)
             counts.append(len(flat) - before)
-        missing = list(set(flat) - self.word.keys())
+        missing = set(flat) - self.word.keys()
         if missing:
             self._learn(missing)
         return np.fromiter(map(self.word.__getitem__, flat), np.int64, len(flat)), np.array(counts, np.int64)
 
     def stream(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end mark; token counts; places after a sentence end)."""
-        if len(self.word) > CACHE_WORDS:
-            self._forget()
+        if len(self.word) > CACHE_WORDS // 2:
+            self._grow_old()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not pc.all(pc.string_is_ascii(texts)).as_py():
             texts = pc.utf8_normalize(texts, form="NFC")
@@ -228,7 +239,7 @@ def pack(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, with_ids: b
             return pa.RecordBatch.from_arrays(columns, schema.names)
 
         for batch in batches:
-            for piece in slices(batch, text, 3 << 20):
+            for piece in slices(batch, text, SLICE_TEXT):
                 more, sizes, ends = coder.stream(piece.column(text))
                 new = piece.column(key)
                 keys = new if keys is None else pa.concat_arrays([keys, new])
