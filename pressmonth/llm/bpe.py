@@ -3,7 +3,9 @@
 A long text is cut before a white-space character that follows a solid one: no match of the split pattern
 crosses such a place (white space only ever begins a match there, and the part before it ends without the
 white space that the pattern's look-ahead would inspect), so the ids of the parts joined are the ids of the
-whole.  A stretch without such a place stays in one part.
+whole.  A stretch without such a place stays in one part.  Very long white space, on which the splitter's own
+matching would run out of stack, is one match of the pattern, without its last character if a solid one follows, and is
+encoded as that one piece.
 
 Null texts count as empty; an empty text has no ids; repeated rows are encoded each; extra columns pass.
 """
@@ -26,6 +28,8 @@ PART_CHARS = 1 << 16
 # white space and controls differ between regex engines: neither counts as the solid side of a cut
 _CUT = regex.compile(r"[\p{L}\p{N}\p{P}\p{S}](?= )")
 
+_LONG_BLANK = regex.compile(r"\p{White_Space}{50000,}")
+
 
 @lru_cache(maxsize=4)
 def encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
@@ -49,7 +53,13 @@ def parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
 def encode(coder: tiktoken.Encoding, text: str) -> list[int]:
     if len(text) <= PART_CHARS:
         return coder.encode_ordinary(text)
-    return [i for part in parts(text) for i in coder.encode_ordinary(part)]
+    ids, start = [], 0
+    for blank in _LONG_BLANK.finditer(text):
+        end = blank.end() - (blank.end() < len(text))
+        ids += [i for part in parts(text[start : blank.start()]) for i in coder.encode_ordinary(part)]
+        ids += coder._encode_single_piece(text[blank.start() : end])
+        start = end
+    return ids + [i for part in parts(text[start:]) for i in coder.encode_ordinary(part)]
 
 
 def encode_texts(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
