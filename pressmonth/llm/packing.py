@@ -87,11 +87,14 @@ class ChunkTokens:
             coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
             self._add(words, coded.ids, np.bincount(np.array(coded.word_ids, np.int64), minlength=len(words)))
 
-    def _words_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _words_of(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all chunks, flat, and how many each has."""
+        plain = pc.ascii_is_alpha(chunks)  # one word each; the others are split one by one
+        simple = pc.ascii_lower(chunks.filter(plain)).to_pylist()
+        plain = plain.to_numpy(zero_copy_only=False)
         flat: list[str] = []
-        counts: list[int] = []
-        for chunk in chunks:
+        split: list[int] = []
+        for chunk in chunks.filter(pa.array(~plain)).to_pylist():
             before = len(flat)
             if chunk.isascii() or _PLAIN.fullmatch(chunk):
                 core = chunk.rstrip(_TAIL)
@@ -103,11 +106,18 @@ class ChunkTokens:
                     flat += _WORDS.findall(chunk.lower())
             else:
                 flat.append(chunk)
-            counts.append(len(flat) - before)
-        missing = set(flat) - self.word.keys()
+            split.append(len(flat) - before)
+        missing = set(simple).union(flat) - self.word.keys()
         if missing:
             self._learn(missing)
-        return np.fromiter(map(self.word.__getitem__, flat), np.int64, len(flat)), np.array(counts, np.int64)
+        number = self.word.__getitem__
+        counts = np.ones(len(plain), np.int64)
+        counts[~plain] = split
+        first = np.cumsum(counts) - counts
+        numbers = np.empty(int(counts.sum()), np.int64)
+        numbers[first[plain]] = np.fromiter(map(number, simple), np.int64, len(simple))
+        numbers[_ranges(first[~plain], counts[~plain])] = np.fromiter(map(number, flat), np.int64, len(flat))
+        return numbers, counts
 
     def stream(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end mark; token counts; places after a sentence end)."""
@@ -118,8 +128,7 @@ class ChunkTokens:
             texts = pc.utf8_normalize(texts, form="NFC")
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
         coded = split.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
-        flat, counts = self._words_of(chunks)
+        flat, counts = self._words_of(coded.dictionary)
         closing = pc.or_(pc.match_substring_regex(coded.dictionary, _SENTENCE_END), pc.equal(coded.dictionary, "\n"))
         closes = np.append(closing.to_numpy(zero_copy_only=False).astype(bool), False)
         # ids of each distinct chunk, side by side, and the end mark as the last chunk
@@ -130,7 +139,7 @@ class ChunkTokens:
         chunk_sizes = np.append(ends[chunk_first + counts] - ends[chunk_first], 1)
         pool_first = np.cumsum(chunk_sizes) - chunk_sizes
         per_text = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
-        index = np.insert(coded.indices.to_numpy().astype(np.int64), np.cumsum(per_text), len(chunks))
+        index = np.insert(coded.indices.to_numpy().astype(np.int64), np.cumsum(per_text), len(coded.dictionary))
         sizes = chunk_sizes[index]
         after = np.cumsum(sizes)
         ids = pool[_ranges(pool_first[index], sizes)]
@@ -149,13 +158,18 @@ def chunk_tokens(tokenizer_file: str) -> ChunkTokens:
     return ChunkTokens(tokenizer_file)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])]
+
+
 def candidates(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[list[int], list[int]]:
     """Places where a window may end, in order from 0 to ``total``, and their penalties."""
-    known = np.unique(np.concatenate([[0, total], doc_ends, sentence_ends]))
+    known = _distinct(np.concatenate([[0, total], doc_ends, sentence_ends]))
     known = known[(known >= 0) & (known <= total)]
     gaps = np.diff(known)
     grid = [np.arange(known[g] + GRID, known[g + 1], GRID) for g in np.flatnonzero(gaps > 2 * GRID)]
-    places = np.unique(np.concatenate([known, *grid]))
+    places = _distinct(np.concatenate([known, *grid]))
     cost = np.full(len(places), GRID_PENALTY)
     cost[np.searchsorted(places, known)] = SENTENCE_PENALTY
     free = np.concatenate([[0], doc_ends[(doc_ends >= 0) & (doc_ends <= total)]])
@@ -221,7 +235,7 @@ def pack(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, with_ids: b
             if final:
                 cuts = split_powers(cuts, window)
             bounds = np.array(cuts)
-            starts = np.unique(np.concatenate([bounds[:-1], doc_start[(doc_start >= 0) & (doc_start < bounds[-1])]]))
+            starts = _distinct(np.concatenate([bounds[:-1], doc_start[(doc_start >= 0) & (doc_start < bounds[-1])]]))
             stops = np.append(starts[1:], bounds[-1])
             doc = np.searchsorted(doc_start, starts, side="right") - 1
             seq = np.searchsorted(bounds, starts, side="right") - 1
