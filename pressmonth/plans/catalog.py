@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,15 @@ from ..operators import (
 from ..operators.upsert import upsert
 from ..sources import dictionary as dic
 from ..sources.generated import NOW, news, table
-from . import reports
-from .lineage import computed_once
+from . import pipeline, reports
+from .lineage import computed_once, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 MONTH = dt.date(1998, 5, 1)
 TOPIC = "thtion"
+TYPED = " %54h%74ion"  # the same as typed into an address
 SOURCE_KEY = "fuente-2"
 # Requests of the batch resolution, asked in every month: exact, contained, containing and unknown ones.
 REQUESTS = ("thtion", "attion to", "the eriner thanea of", "hanedbl", "src", "zzz unknown", "and therhean is the")
@@ -898,3 +900,77 @@ def related_links(spark, sf):
     """Every two classes of a month that share enough articles."""
     present = computed_once(related.presence(_hits(spark, sf)))
     return related.keyword_links(present, computed_once(related.keyword_classes(present)))
+
+
+# --- stored tables and pages --------------------------------------------------------------------------
+
+_STORES: dict[str, pipeline.TableStore] = {}
+
+
+def _built_store(spark, sf):
+    """All jobs run over all articles, once a session: sync, detection, extraction, build."""
+    root = f"{shared_folder(spark)}/store-{sf.strip('/').replace('/', '-')}"
+    if root not in _STORES or not _STORES[root].exists():
+        store = pipeline.open_store(spark, root)
+        pipeline.run_sync(store, news(spark, sf, *ingest.SOURCE_COLUMNS), NOW, full=True)
+        pipeline.run_detect(store, NOW, full=True)
+        pipeline.run_extract(store, config(), NOW, full=True)
+        pipeline.run_build(store, NOW, full=True)
+        _STORES[root] = store
+    return _STORES[root]
+
+
+def _section(rows, name, place, label, value):
+    return rows.select(
+        F.lit(name).alias("section"), place.cast("int").alias("place"), label.cast("string").alias("label"),
+        value.cast("bigint").alias("value"),
+    )
+
+
+@query
+def stored_keywords(spark, sf):
+    """Keyword rows as the extraction job has stored them."""
+    return _built_store(spark, sf).read("news_keywords").select(
+        "raw_noticia_id", "month_start", "normalized_keyword", "extractor_source", F.col("score").cast("double").alias("score"),
+        "occurrences", "source_media",
+    )
+
+
+@query
+def month_page(spark, sf):
+    """What the month page shows, from the stored tables."""
+    page = reports.home_report(_built_store(spark, sf).all(), MONTH)
+    zero = F.lit(0)
+    return (
+        _section(page["overview"], "articles", zero, F.lit("total"), F.col("total_news"))
+        .unionByName(_section(page["overview"], "articles", zero, F.lit("with keywords"), F.col("news_with_keywords")))
+        .unionByName(_section(page["daily_activity"], "day", zero, F.col("activity_date"), F.col("news_count")))
+        .unionByName(_section(page["sources"], "source", F.col("rn"), F.col("alias"), F.col("news_count")))
+        .unionByName(_section(page["top_keywords"], "keyword", F.col("rn"), F.col("label"), F.col("weight")))
+    )
+
+
+@query
+def topic_page(spark, sf):
+    """What the page of a typed topic shows, from the stored tables."""
+    page = reports.topic_report(_built_store(spark, sf).all(), MONTH, TYPED, order="recent")
+    zero = F.lit(0)
+    return (
+        _section(page["overview"], "articles", zero, F.lit(page["normalized_keyword"]), F.col("news_count"))
+        .unionByName(_section(page["daily_activity"], "day", zero, F.col("activity_date"), F.col("news_count")))
+        .unionByName(_section(page["sources"], "source", F.col("rn"), F.col("alias"), F.col("news_count")))
+        .unionByName(_section(page["news"], "news", F.col("rn"), F.col("id"), F.col("total_occurrences")))
+    )
+
+
+@query
+def stream_daily_activity(spark, sf):
+    """Daily counts that a stream has kept: the articles arrive in four files, one in each batch."""
+    from ..streaming import ingest as streaming
+
+    root = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    articles = news(spark, sf, *ingest.SOURCE_COLUMNS).withColumn("texto_completo", F.lit(None).cast("string"))
+    articles.repartition(4).write.parquet(f"{root}/arrivals")
+    store = pipeline.open_store(spark, f"{root}/tables")
+    streaming.daily_table(store, streaming.news_stream(spark, f"{root}/arrivals", 1), f"{root}/progress").awaitTermination()
+    return store.read("daily_activity")

@@ -688,6 +688,22 @@ _SELECTS: dict[str, str] = {
                 FROM hits GROUP BY month_start, normalized_keyword) GROUP BY month_start, articles) b
           ON a.month_start = b.month_start AND a.keyword < b.keyword AND list_has_any(a.articles, b.articles)
         WHERE 100 * shared >= 50 * (len(a.articles) + len(b.articles) - shared)""",
+    "stream_daily_activity": "SELECT * FROM daily",
+    "stored_keywords": """SELECT raw_noticia_id, month_start, normalized_keyword, extractor_source, round(score, 6) AS score,
+        occurrences, source_media FROM hits""",
+    "month_page": f"""
+        SELECT 'articles' AS section, 0 AS place, 'total' AS label, count(*) AS value FROM dated WHERE month_start = DATE '{MONTH}'
+        UNION ALL SELECT 'articles', 0, 'with keywords', count(DISTINCT raw_noticia_id) FROM hits WHERE month_start = DATE '{MONTH}'
+        UNION ALL SELECT 'day', 0, CAST(activity_date AS VARCHAR), news_count FROM daily WHERE month_start = DATE '{MONTH}'
+        UNION ALL SELECT 'source', rn, alias, news_count FROM ({_sources(False)}) WHERE month_start = DATE '{MONTH}'
+        UNION ALL SELECT 'keyword', CAST(rn AS INT), keyword, news_count FROM ktop WHERE month_start = DATE '{MONTH}'""",
+    "topic_page": f"""
+        SELECT 'articles' AS section, 0 AS place, {q(TOPIC)} AS label, count(DISTINCT raw_noticia_id) AS value FROM topic
+        WHERE month_start = DATE '{MONTH}'
+        UNION ALL SELECT 'day', 0, CAST(activity_date AS VARCHAR), news_count FROM tdaily WHERE month_start = DATE '{MONTH}'
+        UNION ALL SELECT 'source', rn, alias, news_count FROM tsources WHERE month_start = DATE '{MONTH}'
+        UNION ALL SELECT 'news', rn, CAST(id AS VARCHAR), total_occurrences FROM ({
+            _topic_news("fecha_publicacion DESC NULLS LAST, total_occurrences DESC, id DESC")}) WHERE month_start = DATE '{MONTH}'""",
     "nearest_articles": """
         SELECT n.id, round(list_cosine_similarity(CAST(n.embedding AS DOUBLE[]), CAST(t.embedding AS DOUBLE[])), 6) AS similarity
         FROM news n, (SELECT embedding FROM news WHERE id = 7) t WHERE n.embedding IS NOT NULL AND n.id <> 7

@@ -46,6 +46,9 @@ class TableStore:
         numbers = sorted(int(c.split("=")[1]) for c in self._children(base) if c.startswith("snapshot="))
         return [n for n in numbers if self._exists(f"{base}/snapshot={n}/_SUCCESS")]
 
+    def exists(self) -> bool:
+        return self._exists(self.root)
+
     # -- reading --
 
     def read(self, name: str) -> DataFrame:

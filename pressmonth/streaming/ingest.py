@@ -9,14 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.pipeline import run_detect, run_sync
+from ..functions.dates import month_start
+from ..operators.upsert import upsert
+from ..plans.pipeline import in_months, month_values, run_detect, run_sync
 from ..schemas import UPSTREAM
 from ..sources.tables import TableStore
 
 
-def news_stream(spark: SparkSession, path: str) -> DataFrame:
+def news_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Upstream articles that arrive as Parquet files."""
-    return spark.readStream.schema(UPSTREAM).parquet(path)
+    reader = spark.readStream.schema(UPSTREAM)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def ingest_stream(
@@ -50,3 +55,27 @@ def daily_counts(stream: DataFrame, timestamp: str = "fecha_publicacion") -> Dat
     ).agg(F.count(F.lit(1)).alias("news_count")).select(
         F.to_date("day.start").alias("activity_date"), "news_count"
     )
+
+
+def daily_table(store: TableStore, stream: DataFrame, checkpoint: str) -> StreamingQuery:
+    """Keep ``daily_activity`` up to date from a stream of articles: each batch rewrites the months of its changed days.
+
+    The counts come in update mode, so a batch brings the new totals of the days it touched.  A replayed batch brings
+    the same totals again and changes nothing.
+    """
+
+    def on_batch(batch: DataFrame, number: int) -> None:
+        run = f"daily-{number}"
+        fresh = store.stage(run, "days", batch.withColumn("month_start", month_start(F.col("activity_date"))))
+        months = month_values(fresh)
+        if months:
+            stored = store.read("daily_activity").filter(in_months(months))
+            store.replace_months("daily_activity", upsert(stored, fresh, ("month_start", "activity_date")), months)
+        store.drop_stage(run)
+
+    return (
+        daily_counts(stream).writeStream.outputMode("update").foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

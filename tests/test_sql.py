@@ -19,7 +19,8 @@ def con():
 
 
 @pytest.mark.parametrize("name", ["news_upsert", "monthly_overview", "source_aliases", "topic_news_by_source",
-                                  "news_keywords", "affected_periods_upsert", "normalize_text", "valid_urls"])
+                                  "news_keywords", "affected_periods_upsert", "normalize_text", "valid_urls",
+                                  "map_2d", "constraint_report", "nearest_recall"])
 def test_query_equals_sql(spark, con, name):
     frame = entry.queries()[name](spark, SF)
     result = con.execute(entry.oracle_sql()[name])

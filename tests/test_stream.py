@@ -33,3 +33,14 @@ def test_daily_counts(spark, upstream, tmp_path):
     query = counts.writeStream.outputMode("complete").format("memory").queryName("daily").trigger(availableNow=True).start()
     assert query.awaitTermination(120)
     assert {(r.activity_date.day, r.news_count) for r in spark.table("daily").collect()} == {(1, 3), (2, 2)}
+
+
+def test_a_stream_keeps_the_daily_table(spark, upstream, tmp_path):
+    source, store = str(tmp_path / "in"), pipeline.open_store(spark, str(tmp_path / "tables"))
+    for day in (1, 2, 1):
+        upstream(*[article(i, "A", "t", "", dt.datetime(2024, 3, day, 5)) for i in range(day + 1)],
+                 article(9, "A", "t", "", None), article(10, "A", "t", "", dt.datetime(2023, 1, 5))).coalesce(1).write.mode("append").parquet(source)
+        query = stream.daily_table(store, stream.news_stream(spark, source, 1), str(tmp_path / "progress"))
+        assert query.awaitTermination(120) and query.exception() is None
+    assert {(r.activity_date, r.news_count) for r in store.read("daily_activity").collect()} == {
+        (dt.date(2024, 3, 1), 4), (dt.date(2024, 3, 2), 3), (dt.date(2023, 1, 5), 3)}
