@@ -25,30 +25,46 @@ STEPS, RUN_ROWS, DECAY = 200, 256, 0.2
 KINDS = ("char3", "char4", "word1", "word2", "shape3")
 
 
-def _count_in(flags: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    sums = np.append(0, np.cumsum(flags))
-    return sums[end] - sums[start]
+def _pair(first: range, second: range) -> np.ndarray:
+    """A table by byte whose running sum counts two kinds of bytes at once, in the lower and the upper half."""
+    table = np.zeros(256, np.int64)
+    table[first], table[second] = 1, 1 << 32
+    return table
+
+
+_CASE = _pair(range(65, 91), range(97, 123))  # upper, lower
+_OTHER = _pair(range(128, 256), range(48, 58))  # beyond ASCII, digits
+
+
+def _counts(table: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    sums = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(table[data], out=sums[1:])
+    both = sums[end] - sums[start]
+    return both & 0xFFFFFFFF, both >> 32
 
 
 def ngrams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row, bucket) of every n-gram, one pair of arrays a kind; buckets of the kinds do not overlap."""
-    of_byte = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    sizes = np.diff(offsets)
     wide = data.astype(np.uint64)
+    value = wide[: max(0, len(data) - 2)] * np.uint64(257 * 257)
+    value += wide[1 : 1 + len(value)] * np.uint64(257)
+    value += wide[2 : 2 + len(value)]
     for kind, size in enumerate((3, 4)):
-        count = max(0, len(data) - size + 1)
-        value = np.zeros(count, np.uint64)
-        for k in range(size):
-            value = value * np.uint64(257) + wide[k : k + count]
-        inside = of_byte[:count] == of_byte[size - 1 :] if count else np.zeros(0, bool)
-        yield of_byte[:count][inside], _bucket(value[inside], kind)
+        if size == 4:
+            value = value[: max(0, len(data) - 3)] * np.uint64(257)
+            value += wide[3 : 3 + len(value)]
+        whole = np.ones(len(data), bool)  # not across the end of a text
+        for short in range(1, size):
+            whole[offsets[1:][sizes >= short] - short] = False
+        rows = np.repeat(np.arange(len(sizes)), np.maximum(sizes - size + 1, 0))
+        yield rows, _bucket(value[whole[: len(value)]], kind)
     found = words(data, offsets)
     yield found.row, _bucket(found.hash, 2)
     pairs = np.flatnonzero(found.row[:-1] == found.row[1:])
     yield found.row[pairs], _bucket(found.hash[pairs] * np.uint64(3) + mix(found.hash[pairs + 1], 1), 3)
-    upper = _count_in((data >= 65) & (data <= 90), found.start, found.end)
-    lower = _count_in((data >= 97) & (data <= 122), found.start, found.end)
-    high = _count_in(data >= 128, found.start, found.end)
-    digit = _count_in((data >= 48) & (data <= 57), found.start, found.end)
+    upper, lower = _counts(_CASE, data, found.start, found.end)
+    high, digit = _counts(_OTHER, data, found.start, found.end)
     size = found.end - found.start
     mark = size - upper - lower - high - digit
     same = np.zeros(len(size), np.int64)
@@ -64,7 +80,11 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def _bucket(values: np.ndarray, kind: int) -> np.ndarray:
-    return (mix(values, 31 + kind) >> np.uint64(45)).astype(np.int64) % BUCKETS + kind * BUCKETS
+    hashed = mix(values, 31 + kind)
+    hashed >>= np.uint64(45)
+    hashed &= np.uint64(BUCKETS - 1)  # a power of two
+    hashed += np.uint64(kind * BUCKETS)
+    return hashed.view(np.int64)
 
 
 def sparse_shares(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
