@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +10,11 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session: what ``spark.checkpoint.dir`` names, or one of our own where it is unset."""
+    """The checkpoint folder of the session: what ``spark.checkpoint.dir`` names, or one in the warehouse where it is unset."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pressmonth-shared-")
+            spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
         )
     return context.getCheckpointDir()
 
