@@ -1,20 +1,22 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, with evidence.
 
-Terms are lower-cased words and their 4- and 5-byte beginnings.  The vocabulary is chosen on a bounded sample of
-labelled rows: terms whose chi-squared with the label and whose lift pass fixed limits.  Document frequencies of these
-terms are counted over all documents.  Example vectors lie in an inverted index whose postings are cut into blocks of
-examples; each block keeps every term's greatest weight, so a search visits blocks by falling bound and stops when no
+Terms are lower-cased words and their beginnings of 3 to 8 bytes.  The examples are a bounded sample of labelled rows;
+every term of theirs is in the vocabulary, and its document frequency is counted over all documents.  Example vectors
+lie in an inverted index.  Lists of rare terms are short and are added up whole; the lists of frequent terms are cut
+into blocks of examples, each with its greatest weight, so a search visits blocks by falling bound and stops when no
 bound can beat the k-th best similarity: the result equals a full scan.  The vote of the neighbours is weighted by
 similarity (and by how thinly each label was sampled) over a fixed prior mass; a logistic curve fitted on leave-one-out
 votes of the sample turns it into a probability.  The nearest example ids are the evidence.
 
-Null and empty texts and texts without vocabulary terms have no neighbours and get the prior's probability.  Without
-labels of both kinds every score is the share of label 1 (0 without labels).  Equal texts get equal scores.  Empty
-tables give no rows.
+Vectors range over the examples' terms: a word that no example holds changes no order of neighbours.  Null and empty
+texts and texts without any such term have no neighbours and get the prior's probability.  Without labels of both kinds
+every score is the share of label 1 (0 without labels).  Equal texts get equal scores.  Of rows that repeat an
+example's id the least text counts.  Empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -25,19 +27,31 @@ from pyspark.sql import functions as F
 
 from pressmonth.llm.arrays import lowered, mix, range_hashes, slices, text_bytes, words
 from pressmonth.llm.features import one_label, platt, sample_of, sigmoid
-from pressmonth.llm.staging import widened
+from pressmonth.llm.staging import staged, widened
 
 SAMPLE_ROWS = 2000  # labelled rows of each label: the examples
-MAX_TERMS = 4096  # size of the fitted vocabulary
-MIN_CHI2, MIN_LIFT = 30.0, 3.0
+PREFIXES = (3, 4, 5, 6, 7, 8)
 NEIGHBOURS, EVIDENCE = 25, 5
 PRIOR_MASS = 1.0
-BLOCK = 64
+BLOCK = 64  # examples
+FREQUENT = 16  # a term that one of so many examples holds has its list in blocks
+SEARCHED, POSTINGS = 64, 1_000_000  # documents and list entries of one step of a search
 REJECT = 0.3
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of every term of a slice."""
+@dataclass
+class Terms:
+    """Distinct words of a slice with their terms, and how often each row holds each word."""
+
+    word: np.ndarray  # of each term, rising
+    hash: np.ndarray
+    pair_row: np.ndarray
+    pair_word: np.ndarray
+    pair_count: np.ndarray
+
+
+def terms(data: np.ndarray, offsets: np.ndarray) -> Terms:
+    """Words without the marks around them; their beginnings are hashed once for each distinct word."""
     data = lowered(data)
     found = words(data, offsets)
     inner = ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57)) | (data >= 128)
@@ -47,62 +61,71 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     start, end = first[found.start], last[found.end - 1] + 1
     solid = (start < end) & (start >= found.start) & (end <= found.end)
     row, start, end = found.row[solid], start[solid], end[solid]
-    rows, hashes = [row], [mix(range_hashes(data, start, end), 1)]
-    for size in (4, 5):
-        longer = end - start > size
-        rows.append(row[longer])
+    whole, at, word = np.unique(range_hashes(data, start, end), return_index=True, return_inverse=True)
+    start, end = start[at], end[at]
+    owners, hashes = [np.arange(len(whole))], [mix(whole, 1)]
+    for size in PREFIXES:
+        longer = np.flatnonzero(end - start > size)
+        owners.append(longer)
         hashes.append(mix(range_hashes(data, start[longer], start[longer] + size), size))
-    return np.concatenate(rows), np.concatenate(hashes)
+    owner, value = np.concatenate(owners), np.concatenate(hashes)
+    order = np.argsort(owner, kind="stable")
+    pairs, counts = np.unique(row * max(len(whole), 1) + word, return_counts=True)
+    pair_row, pair_word = np.divmod(pairs, max(len(whole), 1))
+    return Terms(owner[order], value[order], pair_row, pair_word, counts)
 
 
-def _counted(docs: DataFrame, text: str, vocabulary: np.ndarray | None, label: str | None) -> DataFrame:
-    """(term, with_1, with_0): rows of each label that hold a term (without a label all count as 1), added up by slice."""
+def spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges [first, first + size), one range after the other."""
+    done = np.cumsum(size)
+    return np.arange(done[-1] if len(done) else 0) + np.repeat(first - done + size, size)
+
+
+def counted_terms(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, number in the sorted vocabulary, count) of the known terms, by row and number."""
+    if not len(vocabulary):
+        return (np.zeros(0, np.int64),) * 3
+    found = terms(data, offsets)
+    at = np.minimum(np.searchsorted(vocabulary, found.hash), len(vocabulary) - 1)
+    known = vocabulary[at] == found.hash
+    word, at = found.word[known], at[known]
+    first = np.searchsorted(word, found.pair_word)
+    size = np.searchsorted(word, found.pair_word, side="right") - first
+    cell = np.repeat(found.pair_row, size) * len(vocabulary) + at[spread(first, size)]
+    cells, place = np.unique(cell, return_inverse=True)
+    counts = np.bincount(place, np.repeat(found.pair_count, size), len(cells))
+    return (*np.divmod(cells, len(vocabulary)), counts)
+
+
+def term_hashes(docs: DataFrame, text: str) -> DataFrame:
+    """The distinct terms of all texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, text):
-                row, value = terms(*text_bytes(piece.column(text)))
-                if vocabulary is not None:
-                    row, value = _known(row, value, vocabulary)
-                    value = value.astype(np.uint64)
-                order = np.lexsort((row, value))
-                row, value = row[order], value[order]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
-                row, value = row[new], value[new]
-                y = piece.column(label).to_numpy(zero_copy_only=False)[row] if label else np.ones(len(row))
-                found, at = np.unique(value, return_inverse=True)
-                ones = np.bincount(at, y, len(found)).astype(np.int64)
-                both = np.bincount(at, minlength=len(found))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.view(np.int64)), pa.array(ones), pa.array(both - ones)], ["term", "with_1", "with_0"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(terms(*text_bytes(piece.column(text))).hash).view(np.int64))], ["term"])
 
-    columns = [text, label] if label else [text]
-    partial = docs.select(*columns).mapInArrow(run, "term bigint, with_1 bigint, with_0 bigint")
-    return partial.groupBy("term").agg(F.sum("with_1").alias("with_1"), F.sum("with_0").alias("with_0"))
+    return docs.select(text).mapInArrow(run, "term bigint").distinct()
 
 
-def _known(row: np.ndarray, value: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, number in the sorted vocabulary) of the known terms."""
-    if not len(vocabulary):
-        return row[:0], np.zeros(0, np.int64)
-    # a small table of the hashes' high bits drops most words before the search
-    gate = np.zeros(1 << 16, bool)
-    gate[(vocabulary >> np.uint64(48)).astype(np.int64)] = True
-    maybe = gate[(value >> np.uint64(48)).astype(np.int64)]
-    row, value = row[maybe], value[maybe]
-    at = np.minimum(np.searchsorted(vocabulary, value), len(vocabulary) - 1)
-    hit = vocabulary[at] == value
-    return row[hit], at[hit]
+def document_frequencies(docs: DataFrame, text: str, vocabulary: np.ndarray) -> DataFrame:
+    """(term, documents): of all documents, added up in each task before the shuffle."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(vocabulary), np.int64)
+        for batch in batches:
+            for piece in slices(batch, text):
+                total += np.bincount(counted_terms(*text_bytes(piece.column(text)), vocabulary)[1], minlength=len(vocabulary))
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], ["term", "documents"])
+
+    return docs.select(text).mapInArrow(run, "term int, documents bigint").groupBy("term").agg(F.sum("documents").alias("documents"))
 
 
 def vectors(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unit TF-IDF vectors of a slice: (first entry of each row, term numbers, weights)."""
     rows = len(offsets) - 1
-    row, at = _known(*terms(data, offsets), vocabulary)
-    pairs, counts = np.unique(row * max(len(vocabulary), 1) + at, return_counts=True)
-    row, at = np.divmod(pairs, max(len(vocabulary), 1))
+    row, at, counts = counted_terms(data, offsets, vocabulary)
     weight = (1 + np.log(counts)) * idf[at]
     norm = np.sqrt(np.bincount(row, weight * weight, rows))
     return np.searchsorted(row, np.arange(rows + 1)), at, weight / norm[row] if len(row) else weight
@@ -110,49 +133,81 @@ def vectors(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray, idf:
 
 @dataclass
 class BlockMaxIndex:
-    """Postings of example vectors by term and block of examples; bounded by the sample."""
+    """Lists of the examples that hold each term; bounded by the sample."""
 
-    examples: np.ndarray  # of each posting, by term and example
+    count: int
+    first: np.ndarray  # where each term's list begins
+    examples: np.ndarray
     weights: np.ndarray
-    first: np.ndarray  # terms x (blocks + 1): where each block's postings begin
-    bounds: np.ndarray  # terms x blocks: greatest weight
+    blocks: tuple | None = None  # made where it is used: it is larger than the lists
 
     @classmethod
     def of(cls, starts: np.ndarray, at: np.ndarray, weight: np.ndarray, terms_: int) -> BlockMaxIndex:
-        count = len(starts) - 1
-        example = np.repeat(np.arange(count), np.diff(starts))
+        example = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))
         order = np.lexsort((example, at))
-        at, example, weight = at[order], example[order], weight[order]
-        blocks = -(-count // BLOCK)
-        cell = at * blocks + example // BLOCK
-        first = np.searchsorted(cell, np.arange(terms_ * blocks)).reshape(terms_, blocks)
-        stop = np.searchsorted(cell, np.arange(terms_) * blocks + blocks - 1, side="right")
-        bounds = np.zeros(terms_ * blocks)
-        np.maximum.at(bounds, cell, weight)
-        return cls(example, weight, np.column_stack([first, stop]), bounds.reshape(terms_, blocks))
+        return cls(len(starts) - 1, np.searchsorted(at[order], np.arange(terms_ + 1)), example[order], weight[order])
+
+    def _blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of each frequent term or -1, weights by frequent term and example, greatest weight of each block)."""
+        if self.blocks is None:
+            size = np.diff(self.first)
+            frequent = np.flatnonzero(size * FREQUENT > self.count)
+            number = np.full(len(size), -1)
+            number[frequent] = np.arange(len(frequent))
+            width = -(-self.count // BLOCK) * BLOCK
+            dense = np.zeros((len(frequent), width))
+            own = spread(self.first[frequent], size[frequent])
+            dense[np.repeat(np.arange(len(frequent)), size[frequent]), self.examples[own]] = self.weights[own]
+            self.blocks = number, dense, dense.reshape(len(frequent), width // BLOCK, BLOCK).max(axis=2)
+        return self.blocks
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of greatest cosine (above 0) and their cosines, falling; equal ones by number."""
-        bound = weight @ self.bounds[at]
-        best_e, best_s = np.zeros(0, np.int64), np.zeros(0)
-        least = 0.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] < least - 1e-9 or bound[b] <= 0:  # the slack covers rounding of the sums
+        return next(self.search(np.array([0, len(at)]), at, weight, k))
+
+    def search(self, starts: np.ndarray, at: np.ndarray, weight: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """:meth:`nearest` of many vectors, some at a time."""
+        number, _, _ = self._blocks()
+        size = np.where(number[at] < 0, np.diff(self.first)[at], 0)
+        effort = np.append(0, np.cumsum(size))[starts]
+        lo = 0
+        while lo < len(starts) - 1:
+            hi = max(lo + 1, min(lo + SEARCHED, int(np.searchsorted(effort, effort[lo] + POSTINGS, side="right")) - 1))
+            own = slice(starts[lo], starts[hi])
+            yield from self._some(np.repeat(np.arange(hi - lo), np.diff(starts[lo : hi + 1])), at[own], weight[own], size[own], hi - lo, k)
+            lo = hi
+
+    def _some(self, row: np.ndarray, at: np.ndarray, weight: np.ndarray, size: np.ndarray, rows: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        number, dense, greatest = self._blocks()
+        width = dense.shape[1]
+        entry = spread(self.first[at], size)
+        scores = np.bincount(
+            np.repeat(row * width, size) + self.examples[entry], np.repeat(weight, size) * self.weights[entry], rows * width
+        ).astype(float).reshape(rows, width)  # whole numbers where nothing is added
+        often = number[at] >= 0
+        query = np.zeros((rows, len(dense)))
+        query[row[often], number[at[often]]] = weight[often]
+        bound = scores.reshape(rows, -1, BLOCK).max(axis=2) + query @ greatest
+        seen = np.zeros(bound.shape, bool)
+        ahead = min(bound.shape[1], 2 + k // BLOCK)
+        need = np.zeros(bound.shape, bool)
+        np.put_along_axis(need, np.argsort(-bound, axis=1, kind="stable")[:, :ahead], True, axis=1)
+        while True:
+            need &= bound > 0
+            for block in np.flatnonzero(need.any(axis=0)).tolist():
+                of, part = np.flatnonzero(need[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+                scores[of, part] += query[of] @ dense[:, part]
+            seen |= need
+            final = np.where(np.repeat(seen, BLOCK, axis=1), scores, 0)
+            least = np.partition(final, width - k, axis=1)[:, width - k] if width > k else np.zeros(rows)
+            need = ~seen & (bound >= least[:, None] - 1e-9) & (bound > 0)  # the slack covers rounding of the sums
+            if not need.any():
                 break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(at.tolist(), weight.tolist()):
-                lo, hi = self.first[t, b], self.first[t, b + 1]
-                if lo < hi:
-                    scores[self.examples[lo:hi] - b * BLOCK] += w * self.weights[lo:hi]
-            hit = np.flatnonzero(scores > max(least - 1e-9, 0))
-            best_e, best_s = np.append(best_e, hit + b * BLOCK), np.append(best_s, scores[hit])
-            if len(best_e) > k:
-                keep = np.lexsort((best_e, -np.round(best_s, 9)))[:k]
-                best_e, best_s = best_e[keep], best_s[keep]
-            if len(best_e) == k:
-                least = best_s.min()
-        order = np.lexsort((best_e, -np.round(best_s, 9)))
-        return best_e[order], best_s[order]
+        for cosine, kth in zip(final, least):
+            found = np.flatnonzero((cosine >= kth - 1e-8) & (cosine > 0))
+            cosine = np.round(cosine[found], 9)
+            order = np.lexsort((found, -cosine))[:k]
+            yield found[order], cosine[order]
 
 
 @dataclass
@@ -172,11 +227,12 @@ class NeighbourModel:
         weight = cosine * self.mass[neighbours]
         return float(((weight * self.label[neighbours]).sum() + PRIOR_MASS * self.base) / (weight.sum() + PRIOR_MASS))
 
-    def judge(self, at: np.ndarray, weight: np.ndarray) -> tuple[float, list]:
-        if not len(at):
-            return self._probability(self.base), []
-        neighbours, cosine = self.index.nearest(at, weight, NEIGHBOURS)
-        return self._probability(self.vote(neighbours, cosine)), [self.ids[n] for n in neighbours[:EVIDENCE]]
+    def judge(self, starts: np.ndarray, at: np.ndarray, weight: np.ndarray) -> list[tuple[float, list]]:
+        """(probability, evidence) of each vector; one without terms has no neighbours."""
+        return [
+            (self._probability(self.vote(neighbours, cosine)), [self.ids[n] for n in neighbours[:EVIDENCE]])
+            for neighbours, cosine in self.index.search(starts, at, weight, NEIGHBOURS)
+        ]
 
     def _probability(self, vote: float) -> float:
         return float(sigmoid(np.array(self.curve[0] * vote + self.curve[1])))
@@ -190,24 +246,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, sam
         return float(1 in sizes)
     chosen = sample_of(known.where("y = 1"), sample_rows, key, 1).unionByName(sample_of(known.where("y = 0"), sample_rows, key, 1))
     held = docs.select(key, text).join(F.broadcast(chosen), key)  # 2 * sample_rows ids at most
+    held = staged(held.groupBy(key, "y").agg(F.min(text).alias(text)))
     drawn = {r["y"]: r["n"] for r in held.groupBy("y").agg(F.count("*").alias("n")).collect()}
     base = sizes[1] / (sizes[0] + sizes[1])
     if len(drawn) < 2:
         return base
-    p, n = float(drawn[1]), float(drawn[0])
-    a, c = F.col("with_1"), F.col("with_0")
-    chi2 = (p + n) * F.pow(a * (n - c) - c * (p - a), 2) / ((a + c) * F.greatest(p + n - a - c, F.lit(1.0)) * p * n)
-    share_1, share_0 = a / p, c / n
-    lift = F.greatest(share_1 / (share_0 + 0.5 / n), share_0 / (share_1 + 0.5 / p))
-    selected = (
-        _counted(held, text, None, "y").withColumn("chi2", chi2).where((F.col("chi2") >= MIN_CHI2) & (lift >= MIN_LIFT))
-        .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS)
-    )
-    vocabulary = np.sort(np.array([r["term"] for r in selected.select("term").collect()], np.int64).view(np.uint64))
-    counted = {r["term"]: r["with_1"] for r in _counted(docs, text, vocabulary, None).collect()}  # MAX_TERMS rows at most
-    total = docs.count()
-    frequency = np.array([counted.get(t, 0) for t in range(len(vocabulary))], np.float64)
-    idf = np.log((1 + total) / (1 + frequency)) + 1
+    found = term_hashes(held, text).toArrow().column("term").to_numpy()  # of 2 * sample_rows texts
+    vocabulary = np.sort(found.astype(np.int64).view(np.uint64))
+    counted = document_frequencies(docs, text, vocabulary).toArrow()
+    frequency = np.zeros(len(vocabulary))
+    frequency[counted.column("term").to_numpy()] = counted.column("documents").to_numpy()
+    idf = np.log((2 + docs.count()) / (1 + frequency))
     example_schema = widened(held.select(key, "y").schema, at="array<int>", weight="array<double>")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,17 +274,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, sam
     starts = np.append(0, np.cumsum(sizes_of))
     at = examples.column("at").combine_chunks().flatten().to_numpy().astype(np.int64)
     weight = examples.column("weight").combine_chunks().flatten().to_numpy()
-    y = examples.column("y").to_numpy().astype(np.float64)
+    # examples that share their commonest term lie together, so that a block's greatest weights tell something
+    share = np.bincount(at, minlength=len(vocabulary))
+    common = np.array([at[lo + share[at[lo:hi]].argmax()] if lo < hi else -1 for lo, hi in zip(starts[:-1], starts[1:])])
+    order = np.argsort(common, kind="stable")
+    entry = spread(starts[:-1][order], sizes_of[order])
+    at, weight, starts = at[entry], weight[entry], np.append(0, np.cumsum(sizes_of[order]))
+    y = examples.column("y").to_numpy().astype(np.float64)[order]
+    ids = examples.column(key).take(pa.array(order)).to_pylist()
     mass = np.where(y > 0, sizes[1] / y.sum(), sizes[0] / max((1 - y).sum(), 1))
     mass /= mass.max()
-    index = BlockMaxIndex.of(starts, at, weight, max(len(vocabulary), 1))
-    model = NeighbourModel(vocabulary, idf, index, examples.column(key).to_pylist(), y, mass, base)
+    index = BlockMaxIndex.of(starts, at, weight, len(vocabulary))
+    model = NeighbourModel(vocabulary, idf, index, ids, y, mass, base)
     votes = np.full(len(y), base)
-    for e in np.flatnonzero(sizes_of):
-        own = slice(starts[e], starts[e + 1])
-        near, cosine = index.nearest(at[own], weight[own], NEIGHBOURS + 1)
+    for e, (near, cosine) in enumerate(index.search(starts, at, weight, NEIGHBOURS + 1)):
         other = near != e
-        votes[e] = model.vote(near[other], cosine[other])
+        votes[e] = model.vote(near[other][:NEIGHBOURS], cosine[other][:NEIGHBOURS])
+    index.blocks = None
     model.curve = platt(votes, y, mass / mass.sum() * len(y))
     return model
 
@@ -251,21 +306,25 @@ def score_toxicity(
     schema = widened(docs.select(*kept).schema, toxicity="double", evidence=f"array<{key_type}>")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judged: dict[bytes, tuple[float, list]] = {}
+        judged: dict[bytes, tuple[float, list]] = {}  # equal texts are judged once
         for batch in batches:
             for piece in slices(batch, text):
                 if isinstance(model, float):
                     found = [(model, [])] * piece.num_rows
                 else:
                     starts, at, weight = vectors(*text_bytes(piece.column(text)), model.vocabulary, model.idf)
-                    found = []
-                    for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                        vector = at[lo:hi].tobytes() + weight[lo:hi].tobytes()
-                        if vector not in judged:
-                            if len(judged) > 20_000:
-                                judged.clear()
-                            judged[vector] = model.judge(at[lo:hi], weight[lo:hi])
-                        found.append(judged[vector])
+                    names = [
+                        hashlib.blake2b(at[lo:hi].tobytes() + weight[lo:hi].tobytes(), digest_size=16).digest()
+                        for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist())
+                    ]
+                    if len(judged) > 20_000:
+                        judged.clear()
+                    new = {name: row for row, name in enumerate(names) if name not in judged}
+                    rows = np.array(list(new.values()), np.int64)
+                    size = np.diff(starts)[rows]
+                    entry = spread(starts[rows], size)
+                    judged.update(zip(new, model.judge(np.append(0, np.cumsum(size)), at[entry], weight[entry])))
+                    found = [judged[name] for name in names]
                 yield pa.RecordBatch.from_arrays(
                     [*(piece.column(c) for c in kept), pa.array([s for s, _ in found], pa.float64()),
                      pa.array([e for _, e in found], pa.list_(piece.schema.field(key).type))],
