@@ -1,10 +1,10 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, with evidence.
 
-Terms are lower-cased words and their beginnings of 3 to 8 bytes.  The examples are a bounded sample of labelled rows;
+Terms are lower-cased words and their beginnings of 4, 6 and 8 bytes.  The examples are a bounded sample of labelled rows;
 every term of theirs is in the vocabulary, and its document frequency is counted over all documents.  Example vectors
 lie in an inverted index.  Lists of rare terms are short and are added up whole; the lists of frequent terms are cut
 into blocks of examples, each with its greatest weight, so a search visits blocks by falling bound and stops when no
-bound can beat the k-th best similarity: the result equals a full scan.  The vote of the neighbours is weighted by
+bound can beat the k-th best similarity: the result equals a full scan (to 7 digits; blocks are in single precision).  The vote of the neighbours is weighted by
 similarity (and by how thinly each label was sampled) over a fixed prior mass; a logistic curve fitted on leave-one-out
 votes of the sample turns it into a probability.  The nearest example ids are the evidence.
 
@@ -25,17 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressmonth.llm.arrays import lowered, mix, range_hashes, slices, text_bytes, words
+from pressmonth.llm.arrays import lowered, slices, span_hashes, span_sums, text_bytes, words
 from pressmonth.llm.features import one_label, platt, sample_of, sigmoid
 from pressmonth.llm.staging import staged, widened
 
 SAMPLE_ROWS = 2000  # labelled rows of each label: the examples
-PREFIXES = (3, 4, 5, 6, 7, 8)
+PREFIXES = (4, 6, 8)
 NEIGHBOURS, EVIDENCE = 25, 5
 PRIOR_MASS = 1.0
 BLOCK = 64  # examples
 FREQUENT = 16  # a term that one of so many examples holds has its list in blocks
-SEARCHED, POSTINGS = 64, 1_000_000  # documents and list entries of one step of a search
+SEARCHED, POSTINGS = 128, 2_000_000  # documents and list entries of one step of a search
+SLACK = 1e-6  # covers the rounding of sums
 REJECT = 0.3
 
 
@@ -61,13 +62,14 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> Terms:
     start, end = first[found.start], last[found.end - 1] + 1
     solid = (start < end) & (start >= found.start) & (end <= found.end)
     row, start, end = found.row[solid], start[solid], end[solid]
-    whole, at, word = np.unique(range_hashes(data, start, end), return_index=True, return_inverse=True)
+    sums = span_sums(data.astype(np.uint64) + np.uint64(1))
+    whole, at, word = np.unique(span_hashes(sums, start, end, 1), return_index=True, return_inverse=True)
     start, end = start[at], end[at]
-    owners, hashes = [np.arange(len(whole))], [mix(whole, 1)]
+    owners, hashes = [np.arange(len(whole))], [whole]
     for size in PREFIXES:
         longer = np.flatnonzero(end - start > size)
         owners.append(longer)
-        hashes.append(mix(range_hashes(data, start[longer], start[longer] + size), size))
+        hashes.append(span_hashes(sums, start[longer], start[longer] + size, size))
     owner, value = np.concatenate(owners), np.concatenate(hashes)
     order = np.argsort(owner, kind="stable")
     pairs, counts = np.unique(row * max(len(whole), 1) + word, return_counts=True)
@@ -86,9 +88,14 @@ def counted_terms(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray)
     if not len(vocabulary):
         return (np.zeros(0, np.int64),) * 3
     found = terms(data, offsets)
-    at = np.minimum(np.searchsorted(vocabulary, found.hash), len(vocabulary) - 1)
-    known = vocabulary[at] == found.hash
-    word, at = found.word[known], at[known]
+    # a table of the hashes' high bits drops most unknown terms before the search
+    gate = np.zeros(1 << 22, bool)
+    gate[(vocabulary >> np.uint64(42)).astype(np.int64)] = True
+    maybe = np.flatnonzero(gate[(found.hash >> np.uint64(42)).astype(np.int64)])
+    value = found.hash[maybe]
+    at = np.minimum(np.searchsorted(vocabulary, value), len(vocabulary) - 1)
+    known = vocabulary[at] == value
+    word, at = found.word[maybe[known]], at[known]
     first = np.searchsorted(word, found.pair_word)
     size = np.searchsorted(word, found.pair_word, side="right") - first
     cell = np.repeat(found.pair_row, size) * len(vocabulary) + at[spread(first, size)]
@@ -148,17 +155,18 @@ class BlockMaxIndex:
         return cls(len(starts) - 1, np.searchsorted(at[order], np.arange(terms_ + 1)), example[order], weight[order])
 
     def _blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(number of each frequent term or -1, weights by frequent term and example, greatest weight of each block)."""
+        """(number of each frequent term or -1, weights by block, frequent term and example, greatest weight of each block)."""
         if self.blocks is None:
             size = np.diff(self.first)
             frequent = np.flatnonzero(size * FREQUENT > self.count)
             number = np.full(len(size), -1)
             number[frequent] = np.arange(len(frequent))
             width = -(-self.count // BLOCK) * BLOCK
-            dense = np.zeros((len(frequent), width))
+            dense = np.zeros((len(frequent), width), np.float32)
             own = spread(self.first[frequent], size[frequent])
             dense[np.repeat(np.arange(len(frequent)), size[frequent]), self.examples[own]] = self.weights[own]
-            self.blocks = number, dense, dense.reshape(len(frequent), width // BLOCK, BLOCK).max(axis=2)
+            dense = np.ascontiguousarray(dense.reshape(len(frequent), width // BLOCK, BLOCK).transpose(1, 0, 2))
+            self.blocks = number, dense, np.ascontiguousarray(dense.max(axis=2).T) if len(frequent) else np.zeros((0, len(dense)))
         return self.blocks
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,13 +187,13 @@ class BlockMaxIndex:
 
     def _some(self, row: np.ndarray, at: np.ndarray, weight: np.ndarray, size: np.ndarray, rows: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         number, dense, greatest = self._blocks()
-        width = dense.shape[1]
+        width = len(dense) * BLOCK
         entry = spread(self.first[at], size)
         scores = np.bincount(
             np.repeat(row * width, size) + self.examples[entry], np.repeat(weight, size) * self.weights[entry], rows * width
         ).astype(float).reshape(rows, width)  # whole numbers where nothing is added
         often = number[at] >= 0
-        query = np.zeros((rows, len(dense)))
+        query = np.zeros((rows, len(greatest)), np.float32)
         query[row[often], number[at[often]]] = weight[often]
         bound = scores.reshape(rows, -1, BLOCK).max(axis=2) + query @ greatest
         seen = np.zeros(bound.shape, bool)
@@ -196,16 +204,16 @@ class BlockMaxIndex:
             need &= bound > 0
             for block in np.flatnonzero(need.any(axis=0)).tolist():
                 of, part = np.flatnonzero(need[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
-                scores[of, part] += query[of] @ dense[:, part]
+                scores[of, part] += query[of] @ dense[block]
             seen |= need
             final = np.where(np.repeat(seen, BLOCK, axis=1), scores, 0)
             least = np.partition(final, width - k, axis=1)[:, width - k] if width > k else np.zeros(rows)
-            need = ~seen & (bound >= least[:, None] - 1e-9) & (bound > 0)  # the slack covers rounding of the sums
+            need = ~seen & (bound >= least[:, None] - SLACK) & (bound > 0)
             if not need.any():
                 break
         for cosine, kth in zip(final, least):
-            found = np.flatnonzero((cosine >= kth - 1e-8) & (cosine > 0))
-            cosine = np.round(cosine[found], 9)
+            found = np.flatnonzero((cosine >= kth - SLACK) & (cosine > 0))
+            cosine = np.round(cosine[found], 7)
             order = np.lexsort((found, -cosine))[:k]
             yield found[order], cosine[order]
 
