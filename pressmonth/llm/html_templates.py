@@ -3,21 +3,25 @@
 Every element subtree (tag, text and children) is hashed; Spark counts on how many distinct pages of a host each hash
 occurs: copies of a page count once, whatever the host's size.  Subtrees that recur on many pages of their host are the
 host's template and are deleted.  If a page has an article (or main) element, only that is read, and only what recurs
-inside the host's articles is deleted from it: a box (div, section, list, table) that five different articles hold, and
-a block of text (paragraph, heading, item) that nine of ten articles hold; what fewer share is content.  Elements
+inside the host's articles is deleted from it: a box (div, section, list, table) that three of ten different articles
+hold, and a block of text (paragraph, heading, item) that nine of ten hold; what fewer share is content.  Outside
+articles a box needs one of a hundred pages and a block of text one of fifty, or fifty pages.  An element with half of
+the text of its page or article is never deleted by counts, so one story on several pages stays.  Elements
 whose tag, role or class names them as menus, headers, footers, sidebars, notices, adverts, forms, comments or markup
 are deleted on every page, as are scripts and styles, so pages of small hosts lose theirs too.  Inside an article a
 class or id counts only if all its words name such parts; outside, one word is enough, unless the element holds an
 article or half of the page's text.  The page, body, article and main elements are never deleted by a name.
 
 A null or empty html has the text "" and no template.  Equal pages get equal texts; pages without a url share the
-empty host; an empty table gives no rows.  A host's template is sorted before its pages, not joined to each of them.
+empty host; an empty table gives no rows.  A host's template is sorted before its pages, not joined to each of them; the
+pages of a large host are dealt over as many tasks as their number asks for.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Container, Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -30,9 +34,10 @@ from pressmonth.llm.arrays import slices
 from pressmonth.llm.staging import staged, widened
 
 MIN_PAGES, MIN_SHARE = 5, 0.02
-ARTICLE_SHARE = 0.9  # of a host's distinct articles: fewer may share a block of text that is content
-MANY_PAGES = 50  # a block of text on so many pages needs no share of its host
-SALTS = 64
+BOX_SHARE = 0.01  # of a host's distinct pages, for a box outside articles
+ARTICLE_SHARE, ARTICLE_BOX_SHARE = 0.9, 0.3  # of a host's distinct articles: fewer may share a text or box that is content
+MANY_PAGES = 50  # a subtree outside articles on so many pages needs no share of its host
+PAGES_TOGETHER = 100  # of one host
 
 # Names of the HTML standard, and usual names of page parts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,7 +69,7 @@ SIBLINGS = {  # an opening tag that ends an open element of these names, up to t
     "option": ({"option"}, {"select"}),
 }
 _PIECES = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|[^<]+|<", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z][^\s/>]*+(?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+(?:>|\Z)|[^<]+|<", re.DOTALL
 )
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _MARKS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -79,6 +84,7 @@ class Node:
     hash: int = 0
     first: int = 0  # the lines of the page that the element holds
     stop: int = 0
+    size: int = 0  # characters of its text
 
 
 def _is_boilerplate(tag: str, piece: str, in_article: bool) -> tuple[bool, bool]:
@@ -132,14 +138,21 @@ def parse(page: str) -> Node:
     """The element tree of a page, with implied ends of paragraphs, items and cells; stray end tags are ignored."""
     root = Node("#root")
     stack = [root]
+    opened: Counter[str] = Counter()  # names on the stack, so that a stray end tag costs no look through it
     hinted: list[Node] = []
     raw: str | None = None
+
+    def close(depth: int) -> None:
+        for node in stack[depth:]:
+            opened[node.tag] -= 1
+        del stack[depth:]
+
     for match in _PIECES.finditer(page):
         piece = match[0]
         if raw is not None:
             if piece[:2] == "</" and piece[2 : 2 + len(raw)].lower() == raw:
                 raw = None
-                stack.pop()
+                close(len(stack) - 1)
             continue
         if piece[0] != "<" or len(piece) == 1:
             stack[-1].children.append(entities.unescape(piece))
@@ -149,32 +162,32 @@ def parse(page: str) -> Node:
             continue
         tag = named[1].lower()
         if piece[1] == "/":
-            if any(n.tag == tag for n in stack[1:]):
-                while stack.pop().tag != tag:
-                    pass
+            if opened[tag]:
+                close(next(depth for depth in range(len(stack) - 1, 0, -1) if stack[depth].tag == tag))
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and opened["p"]:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == "p":
-                    del stack[depth:]
+                    close(depth)
                     break
                 if stack[depth].tag in BLOCKS:
                     break
         if tag in SIBLINGS:
             ends, within = SIBLINGS[tag]
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if any(opened[e] for e in ends) else ():
                 if stack[depth].tag in within:
                     break
                 if stack[depth].tag in ends:
-                    del stack[depth:]
+                    close(depth)
                     break
-        dropped, hint = _is_boilerplate(tag, piece, any(n.tag in ("article", "main") for n in stack))
+        dropped, hint = _is_boilerplate(tag, piece, bool(opened["article"] or opened["main"]))
         node = Node(tag, dropped)
         if dropped and hint:
             hinted.append(node)
         stack[-1].children.append(node)
         if tag not in VOID and not piece.endswith("/>"):
             stack.append(node)
+            opened[tag] += 1
             raw = tag if tag in RAW else None
     _keep_wrappers(root, hinted)
     return root
@@ -210,6 +223,8 @@ def hash_subtrees(root: Node) -> list[str]:
             node.stop = len(lines)
             content = [f"\x01{c.hash:x}" if isinstance(c, Node) else " ".join(c.split()) for c in node.children if isinstance(c, str) or not c.dropped]
             node.hash = xxhash.xxh64_intdigest("\x00".join([node.tag, *content])) - 2**63
+            node.size = sum(c.size for c in node.children if isinstance(c, Node) and not c.dropped)
+            node.size += sum(len(c) for c in content if c[:1] != "\x01")
     return [" ".join(line) for line in lines]
 
 
@@ -248,7 +263,7 @@ def main_text(root: Node, template: Container[int], boxes: Container[int] = ())
     """Blocks of the article, white space inside a block as one space, joined by line ends.
 
     ``template`` holds the subtrees to delete of a page without article, ``boxes`` those inside articles.
-    An element with all lines of the page is never deleted.
+    An element with half of the text of its page or article is never deleted.
     """
     roots = _articles(root) or [root]
     blocks: list[str] = []
@@ -271,7 +286,7 @@ def main_text(root: Node, template: Container[int], boxes: Container[int] = ())
             elif isinstance(item, str):
                 line.append(item)
             elif item.dropped or (
-                item.tag in COUNTED and item.hash in recurs and (item.first, item.stop) != (top.first, top.stop)
+                item.tag in COUNTED and item.hash in recurs and 2 * item.size < top.size
             ):
                 if item.tag in BLOCKS:
                     flush()
@@ -309,8 +324,8 @@ def host_of(url: Column) -> Column:
 def templates(pages: DataFrame, html: str, min_pages: int, min_share: float) -> DataFrame:
     """(host, inside, subtree): the hashes of each host that recur on enough of its distinct pages or articles.
 
-    ``min_pages`` are enough for a box.  A block of text needs the share of the host's pages too, or ``MANY_PAGES``;
-    inside articles it needs ``ARTICLE_SHARE`` of them.
+    ``min_pages`` is the least number.  Outside articles a block of text needs ``min_share`` of the host's pages too and a
+    box ``BOX_SHARE``, or ``MANY_PAGES``; inside they need ``ARTICLE_SHARE`` and ``ARTICLE_BOX_SHARE`` of its articles.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,8 +347,11 @@ def templates(pages: DataFrame, html: str, min_pages: int, min_share: float) ->
     )
     counted = staged(counted)
     sizes = counted.where("__subtree is null").select("__host", "__inside", F.col("pages").alias("all_pages"))
-    needed = F.when(F.col("__inside"), F.col("all_pages") * ARTICLE_SHARE).otherwise(F.least(F.col("all_pages") * min_share, F.lit(MANY_PAGES)))
-    enough = ~F.col("text") | (F.col("pages") >= needed)
+    share = F.when(
+        F.col("__inside"), F.when(F.col("text"), ARTICLE_SHARE).otherwise(ARTICLE_BOX_SHARE)
+    ).otherwise(F.when(F.col("text"), min_share).otherwise(BOX_SHARE))
+    needed = F.col("all_pages") * share
+    enough = F.col("pages") >= F.when(F.col("__inside"), needed).otherwise(F.least(needed, F.lit(MANY_PAGES)))
     return counted.where("__subtree is not null").join(sizes, ["__host", "__inside"]).where(enough).select("__host", "__inside", "__subtree")
 
 
@@ -367,9 +385,13 @@ def extract(
                     schema.names,
                 )
 
-    # a host's template comes before its pages and is repeated, so that a hot host's pages are dealt over SALTS tasks
-    salted = hosted.select(*kept, html, "__host").withColumn("__salt", F.pmod(F.xxhash64(url, html), F.lit(SALTS)))
-    found = templates(hosted, html, min_pages, min_share).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    # a host's template comes before its pages and is repeated, so that a large host's pages are dealt over several tasks
+    large = staged(hosted.groupBy("__host").count().where(F.col("count") > PAGES_TOGETHER))
+    large = large.select("__host", F.ceil(F.col("count") / PAGES_TOGETHER).alias("__salts"))
+    salts = F.coalesce(F.col("__salts"), F.lit(1))
+    salted = hosted.select(*kept, html, "__host").join(large, "__host", "left").withColumn("__salt", F.pmod(F.xxhash64(url, html), salts)).drop("__salts")
+    found = templates(hosted, html, min_pages, min_share).join(large, "__host", "left")
+    found = found.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))).drop("__salts")
     dealt = salted.unionByName(found, allowMissingColumns=True).repartition("__host", "__salt")
     ordered = dealt.sortWithinPartitions("__host", "__salt", F.col("__subtree").isNull())
     return ordered.select(*kept, html, "__host", "__subtree", "__inside").mapInArrow(run, schema)
