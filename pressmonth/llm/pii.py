@@ -5,7 +5,8 @@ form) are found in every text.  They also seed a pattern-instance graph: an inst
 digit or an @ in it, six characters or more), a pattern is a lexical context of it with the token's coarse shape: the
 word or the two words before it, or the token's own beginning up to "=" or ":" or its first four capitals.  In turns,
 Spark rates each pattern by the belief in its distinct instances and each instance by its patterns.  Patterns of high
-confidence then mark identifiers that no format knows.  The patterns are a fitted model of bounded size.
+confidence then mark identifiers that no format knows.  All of them stay a table: the texts' (pattern, place) rows meet
+it in a join, and what it marks meets the texts by their digest, so neither the driver nor a task holds all patterns.
 
 Spans are code points, end exclusive.  Found spans never replace the format's own: one that overlaps such a span is
 left out.  Null and empty texts have no spans; equal texts get equal spans; an empty table gives no rows.
@@ -18,7 +19,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressmonth.llm.arrays import slices
@@ -28,7 +29,7 @@ KINDS = ("email", "ip", "card", "phone", "secret")  # the order of kinds at one
 BASE_KINDS = KINDS[:4]
 ROUNDS = 3
 MIN_CONFIDENCE, MIN_SUPPORT = 0.9, 5.0
-MAX_PATTERNS = 5000
+SALTS = 16  # parts of a frequent pattern's places, and of the copies of a text
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -167,10 +168,15 @@ def edges(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(run, "pattern string, instance binary, kind string").distinct()
 
 
+def digest(text: Column) -> Column:
+    """What tells texts apart; a null text is empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def learn_patterns(
     docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confidence: float = MIN_CONFIDENCE, support: float = MIN_SUPPORT
-) -> dict[str, str]:
-    """Pattern -> kind of the patterns of high confidence, at most ``MAX_PATTERNS`` by support."""
+) -> DataFrame:
+    """(pattern, kind) of all patterns of high confidence; of several kinds the one with most support, then the first by name."""
     graph = staged(edges(docs, text))
     links = graph.select("pattern", "instance").distinct()
     sizes = links.groupBy("pattern").agg(F.count("*").alias("size"))
@@ -186,25 +192,42 @@ def learn_patterns(
         doubt = F.exp(F.sum(F.log(F.lit(1.0) - F.least("confidence", F.lit(0.999)))))
         reached = links.join(trusted, "pattern").groupBy("instance", "kind").agg((F.lit(1.0) - doubt).alias("belief"))
         beliefs = staged(seeds.unionByName(reached).groupBy("instance", "kind").agg(F.max("belief").alias("belief")))
-    best = rated.where((F.col("support") >= support) & (F.col("confidence") >= confidence)).orderBy(
-        F.desc("support"), "pattern", "kind"
-    ).limit(MAX_PATTERNS)
-    learned: dict[str, str] = {}
-    for row in best.collect():
-        learned.setdefault(row["pattern"], row["kind"])
-    return learned
-
-
-def all_spans(text: str, patterns: dict[str, str]) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """(base spans, all spans) of a text."""
-    base = base_spans(text)
-    found = seed_spans(text, base)
-    if patterns:
-        for start, end, _, own in identifiers(text):
-            kind = next((patterns[p] for p in own if p in patterns), None)
-            if kind and not any(s < end and start < e for s, e, _ in found):
-                found.append((start, end, kind))
-    return base, sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
+    best = rated.where((F.col("support") >= support) & (F.col("confidence") >= confidence)).groupBy("pattern")
+    return staged(best.agg(F.min(F.struct(-F.col("support"), "kind")).alias("best")).select("pattern", "best.kind"))
+
+
+def places(docs: DataFrame, text: str) -> DataFrame:
+    """(text, start, end, turn, pattern): the patterns, in turn, of the identifiers outside all seeds, once for each text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, text):
+                rows: set[tuple[bytes, int, int, int, str]] = set()
+                for value in piece.column(text).to_pylist():
+                    if not value or not _IDENTIFIER.search(value):
+                        continue
+                    seeds = seed_spans(value, base_spans(value))
+                    name = hashlib.md5(value.encode(), usedforsecurity=False).digest()
+                    for start, end, _, patterns in identifiers(value):
+                        if not any(s < end and start < e for s, e, _ in seeds):
+                            rows.update((name, start, end, turn, p) for turn, p in enumerate(patterns))
+                columns = list(zip(*sorted(rows))) or [()] * 5
+                types = (pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types)], ["digest", "start", "end", "turn", "pattern"]
+                )
+
+    return docs.select(text).mapInArrow(run, "digest binary, start int, end int, turn int, pattern string").distinct()
+
+
+def discovered(docs: DataFrame, patterns: DataFrame, text: str = "text") -> DataFrame:
+    """(digest, found): the identifiers of each text that a pattern marks, as (start, end, kind); the first pattern decides."""
+    # a frequent pattern's places lie in several parts, each with its own copy of the pattern's row
+    dealt = places(docs, text).withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)).cast("int"))
+    copied = patterns.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    kind = F.min(F.struct("turn", "kind"))["kind"]
+    marked = dealt.join(copied, ["pattern", "salt"]).groupBy("digest", "start", "end").agg(kind.alias("kind"))
+    return marked.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("found"))
 
 
 def joined(spans: list[tuple[int, int, str]]) -> str:
@@ -221,19 +244,25 @@ def redacted(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join(out) + text[done:]
 
 
-def find_pii(docs: DataFrame, text: str = "text", carry: list[str] | None = None, patterns: dict[str, str] | None = None) -> DataFrame:
-    """The columns ``carry`` (all) with counts of the base kinds, ``base_sha256``, ``spans`` and ``redacted``."""
-    model = learn_patterns(docs, text) if patterns is None else patterns
+def find_pii(docs: DataFrame, text: str = "text", carry: list[str] | None = None, patterns: DataFrame | None = None) -> DataFrame:
+    """The columns ``carry`` (all) with counts of the base kinds, ``base_sha256``, ``spans`` and ``redacted``.
+
+    ``patterns`` (pattern, kind) are learned from ``docs`` where none are given.
+    """
+    found = staged(discovered(docs, learn_patterns(docs, text) if patterns is None else patterns, text))
     added = [*(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "redacted"]
     kept = [c for c in (docs.columns if carry is None else carry) if c not in added]
+    extras = f"__found_{len(kept)}"
     schema = widened(docs.select(*kept).schema, **{c: "bigint" if c.startswith("n_") else "string" for c in added})
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, text):
                 counts, digests, strings, clean = [], [], [], []
-                for value in piece.column(text).to_pylist():
-                    base, spans = all_spans(value or "", model)
+                for value, extra in zip(piece.column(text).to_pylist(), piece.column(extras).to_pylist()):
+                    base = base_spans(value or "")
+                    spans = seed_spans(value or "", base) + [(f["start"], f["end"], f["kind"]) for f in extra or ()]
+                    spans.sort(key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
                     counts.append([sum(k == kind for _, _, k in base) for kind in BASE_KINDS])
                     digests.append(hashlib.sha256(joined(base).encode()).hexdigest())
                     strings.append(joined(spans))
@@ -245,4 +274,10 @@ def find_pii(docs: DataFrame, text: str = "text", carry: list[str] | None = None
                 )
 
     columns = list(dict.fromkeys([*kept, text]))
-    return docs.select(*columns).mapInArrow(run, schema)
+    names = [f"__{name}_{len(columns)}" for name in ("digest", "salt")]
+    # copies of a text lie in several parts, each with its own copy of what was found in it
+    copied = found.select(F.col("digest").alias(names[0]), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(names[1]), F.col("found").alias(extras))
+    others = [f"`{c}`" for c, of in docs.select(*columns).dtypes if c != text and "map<" not in of]  # a map has no hash
+    part = F.pmod(F.xxhash64(F.lit(0), *others), F.lit(SALTS)).cast("int")
+    dealt = docs.select(*columns, digest(F.col(text)).alias(names[0]), part.alias(names[1]))
+    return dealt.join(copied, names, "left").select(*columns, extras).mapInArrow(run, schema)
