@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
 from ..functions.text import build_document, normalize_text
-from ..sources.dictionary import KeywordConfig
+from ..sources.dictionary import KeywordConfig, lookup
 from .entities import entity_hits
 from .keyphrases import keyphrase_hits
 from .matching import ARTICLE, HIT, dictionary_hits
@@ -35,8 +35,8 @@ def alias_lookup(documents: DataFrame, config: KeywordConfig) -> DataFrame:
     rows = [
         (alias, e["canonical"], e["normalized"], e["keyword_type"]) for alias, e in config.alias_map().items()
     ]
-    return documents.sparkSession.createDataFrame(
-        rows, "alias string, to_canonical string, to_normalized string, to_type string"
+    return lookup(
+        documents.sparkSession, rows, "alias string, to_canonical string, to_normalized string, to_type string"
     )
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.dictionary import KeywordConfig
+from ..sources.dictionary import KeywordConfig, lookup
 
 INLINE_LIMIT = 400  # aliases; beyond this the generated projection gets unwieldy
 WORD = r"[\p{L}\p{N}_]"
@@ -76,8 +76,8 @@ def _inline(documents: DataFrame, entries: list[dict]) -> DataFrame:
 
 def _ngram_join(documents: DataFrame, entries: list[dict]) -> DataFrame:
     spark = documents.sparkSession
-    aliases = spark.createDataFrame(
-        [(e["position"], a) for e in entries for a in e["normalized_aliases"]],
+    aliases = lookup(
+        spark, [(e["position"], a) for e in entries for a in e["normalized_aliases"]],
         "position int, normalized_alias string",
     )
     aliases = aliases.select(
@@ -89,24 +89,24 @@ def _ngram_join(documents: DataFrame, entries: list[dict]) -> DataFrame:
     widths = sorted({len(_tokens(a)) for e in entries for a in e["normalized_aliases"]})
     is_word = lambda token: F.coalesce(~token.isin(" ", "-"), F.lit(False))
 
-    def grams(tokens: Column, width: int) -> Column:
-        at = lambda i: F.get(tokens, i)
-        last = F.size(tokens) - width
-        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(
-            starts,
-            lambda i: F.struct(
-                i.alias("at"),
-                F.array_join(F.slice(tokens, i + 1, width), "").alias("gram"),
-                is_word(at(i - 1)).alias("word_before"),
-                is_word(at(i + width)).alias("word_after"),
-            ),
-        )
-
+    # One row per token with those after it, made of shifted copies of the list: no function runs for every window.
     tokenised = documents.select(
         *ARTICLE, F.regexp_extract_all("normalized_document", F.lit(TOKEN), F.lit(0)).alias("tokens")
     )
-    windows = tokenised.select(*ARTICLE, F.inline(F.concat(*[grams(F.col("tokens"), w) for w in widths])))
+    shifted = [F.slice("tokens", i + 1, F.size("tokens")).alias(f"t{i}") for i in range(max(widths, default=0) + 1)]
+    before = F.concat(F.array(F.lit(None).cast("string")), F.col("tokens")).alias("before")
+    placed = tokenised.select(*ARTICLE, F.posexplode(F.arrays_zip(before, *shifted)).alias("at", "z"))
+    token = lambda i: F.col(f"z.t{i}")
+    # an alias neither begins nor ends with a space; null where the text ends before the window does
+    grams = F.array(*[
+        F.when(token(w - 1) != " ", F.struct(
+            F.concat(*[token(i) for i in range(w)]).alias("gram"), is_word(token(w)).alias("word_after")
+        ))
+        for w in widths
+    ])
+    windows = placed.filter(token(0) != " ").select(
+        *ARTICLE, "at", is_word(F.col("z.before")).alias("word_before"), F.inline(grams)
+    ).filter("gram IS NOT NULL")
     matches = windows.join(aliases, windows["gram"] == aliases["normalized_alias"]).filter(
         ~(F.col("opens_with_hyphen") & F.col("word_before")) & ~(F.col("ends_with_hyphen") & F.col("word_after"))
     )
@@ -123,8 +123,8 @@ def _ngram_join(documents: DataFrame, entries: list[dict]) -> DataFrame:
         F.collect_list("at").alias("starts")
     ).select(*ARTICLE, "position", greedy.alias("n"))
     per_entry = per_alias.groupBy(*ARTICLE, "position").agg(F.sum("n").alias("occurrences"))
-    described = spark.createDataFrame(
-        [(e["position"], e["canonical"], e["normalized"], e["keyword_type"], e["priority"]) for e in entries],
+    described = lookup(
+        spark, [(e["position"], e["canonical"], e["normalized"], e["keyword_type"], e["priority"]) for e in entries],
         "position int, canonical string, normalized string, keyword_type string, priority int",
     )
     return per_entry.join(described, "position")

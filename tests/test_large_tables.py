@@ -4,6 +4,7 @@ import math
 import random
 
 from pressmonth.operators import keyphrases as kp
+from pressmonth.operators import matching
 from pressmonth.plans import catalog
 from test_hits import documents
 from test_keyphrases import brute_force
@@ -29,3 +30,13 @@ def test_articles_counted_in_several_blocks(spark):
     want = {(i, t): v for i, text in enumerate(texts) for t, v in brute_force(text)[0].items()}
     assert len(rows) == len(want)
     assert all(math.isclose(r.term_score, want[r.raw_noticia_id, r.term], rel_tol=1e-12) for r in rows)
+
+
+def test_small_dictionaries_move_no_windows(spark):
+    text = plan(catalog.QUERIES["dictionary_hits_by_join"](spark, SF))
+    assert "SortMergeJoin" not in text and "hashpartitioning(gram" not in text
+
+
+def test_no_function_runs_for_every_window(spark):
+    joined = matching.dictionary_hits(documents(spark, ""), catalog.config(), "join")
+    assert "array_join(" not in joined._jdf.queryExecution().optimizedPlan().toString()
