@@ -170,8 +170,10 @@ def run_extract(
             return month_values(periods.distinct_months(store.read("raw_news")))
         return month_values(periods.months_to_extract(store.read("affected_periods"), retry_failed))
 
-    def hits_of(news: DataFrame) -> DataFrame:
-        documents = hit_ops.to_documents(news, max_text_chars)
+    def documents_of(news: DataFrame) -> DataFrame:
+        return hit_ops.to_documents(news, max_text_chars)
+
+    def hits_of(documents: DataFrame) -> DataFrame:
         return hit_ops.news_keywords(documents, config, extractors, load_annotator, max_keyphrases)
 
     def selected(months: list[dt.date]) -> DataFrame:
@@ -183,7 +185,7 @@ def run_extract(
         return ingest.month_sample(news, period, limit_news) if limit_news else news
 
     if dry_run:
-        return hits_of(selected(chosen_months()))
+        return hits_of(documents_of(selected(chosen_months())))
 
     with processing_run(store, "extract", now, full, notes="extract keywords") as run:
         sync_config(store, config)
@@ -194,7 +196,8 @@ def run_extract(
         if by_state:
             _mark(store, months, "processing", now)
         news = selected(months)
-        hits, found = store.stage_measured(run.run_id, "hits", hits_of(news), written=F.count(F.lit(1)))
+        documents = store.stage(run.run_id, "documents", documents_of(news))  # all extractors read the cleaned texts
+        hits, found = store.stage_measured(run.run_id, "hits", hits_of(documents), written=F.count(F.lit(1)))
         per_article = hits.groupBy(F.col("raw_noticia_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
         markers, marked = store.stage_measured(run.run_id, "markers", news.select("id", "month_start").join(per_article, "id", "left").select(
             F.col("id").alias("raw_noticia_id"), "month_start", F.lit("completed").alias("status"),
