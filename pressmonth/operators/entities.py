@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_text, normalize_text
+from ..functions.text import clean_text, fold_label, normalize_text, strings
 from ..schemas import ENTITY_LABELS
 from .matching import ARTICLE
 
@@ -18,12 +21,44 @@ CAPITALISED_RUN = r"(?:^|[^\p{L}\p{N}_])(\p{Lu}[\p{L}\p{N}]*+(?: \p{Lu}[\p{L}\p{
 Annotator = Callable[[list[str]], list[list[tuple[str, str]]]]
 
 
-def capitalised_mentions(document: Column) -> Column:
-    """Default annotator: every run of capitalised words, labelled MISC."""
-    return F.transform(
-        F.regexp_extract_all(document, F.lit(CAPITALISED_RUN), F.lit(1)),
-        lambda text: F.struct(text.alias("text"), F.lit("MISC").alias("label")),
+MENTIONS = "array<struct<normalized:string,n:bigint,first:struct<at:int,text:string>,last:struct<at:int,label:string>>>"
+
+_folded = lru_cache(maxsize=100_000)(fold_label)
+
+
+def _count(mentions: pa.Array) -> pa.Array:
+    """The mentions of each article by their normalised form, labelled MISC: how many, the first and the last."""
+    texts, at = strings(mentions.flatten()), 0
+    ends, forms, spelled, n, first, last = [0], [], [], [], [], []
+    for length in pc.list_value_length(mentions).fill_null(0).to_pylist():
+        known: dict[str, int] = {}
+        for place, text in enumerate(texts[at : at + length]):
+            form = _folded(text)
+            row = known.setdefault(form, len(forms))
+            if row == len(forms):
+                forms.append(form)
+                spelled.append(text)
+                n.append(0)
+                first.append(place)
+                last.append(place)
+            n[row] += 1
+            last[row] = place
+        at += length
+        ends.append(len(forms))
+    places = [pa.array(p, pa.int32()) for p in (first, last)]
+    label = pa.array(["MISC"] * len(forms), pa.string())
+    rows = pa.StructArray.from_arrays(
+        [pa.array(forms, pa.string()), pa.array(n, pa.int64()),
+         pa.StructArray.from_arrays([places[0], pa.array(spelled, pa.string())], ["at", "text"]),
+         pa.StructArray.from_arrays([places[1], label], ["at", "label"])],
+        ["normalized", "n", "first", "last"],
     )
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+
+
+def capitalised_mentions(document: Column) -> Column:
+    """Default annotator: every run of capitalised words, counted in the article's row."""
+    return F.arrow_udf(_count, MENTIONS)(F.regexp_extract_all(document, F.lit(CAPITALISED_RUN), F.lit(1)))
 
 
 def annotated_mentions(documents: DataFrame, load_annotator: Callable[[], Annotator]) -> DataFrame:
@@ -55,20 +90,15 @@ def entity_hits(
 ) -> DataFrame:
     """One hit per article and normalised mention: first spelling, last label, number of mentions."""
     if load_annotator is None:
-        mentions = documents.select(
-            *ARTICLE, F.posexplode(capitalised_mentions(F.col("document"))).alias("at", "m")
-        ).select(*ARTICLE, "at", "m.text", "m.label")
+        # Only distinct mentions become rows; they hold letters, digits and single spaces, and are clean already.
+        named = documents.select(*ARTICLE, F.inline(capitalised_mentions(F.col("document"))))
     else:
-        mentions = annotated_mentions(documents, load_annotator)
-    named = mentions.filter(F.col("label").isin(*ENTITY_LABELS)).select(
-        *ARTICLE, "at", "label",
-        clean_text(F.col("text")).alias("text"),
-        normalize_text(F.col("text")).alias("normalized"),
-    ).filter(F.length("normalized") >= min_chars)
-    counted = named.groupBy(*ARTICLE, "normalized").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct("at", "text")).alias("first"),
-        F.max(F.struct("at", "label")).alias("last"),
+        named = annotated_mentions(documents, load_annotator).filter(F.col("label").isin(*ENTITY_LABELS)).select(
+            *ARTICLE, normalize_text(F.col("text")).alias("normalized"), F.lit(1).cast("bigint").alias("n"),
+            F.struct("at", clean_text(F.col("text")).alias("text")).alias("first"), F.struct("at", "label").alias("last"),
+        )
+    counted = named.filter(F.length("normalized") >= min_chars).groupBy(*ARTICLE, "normalized").agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")
     )
     return counted.select(
         *ARTICLE,

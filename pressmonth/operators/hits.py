@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
-from ..functions.text import build_document, normalize_text
+from ..functions.text import cleaned_document, normalized_document
 from ..sources.dictionary import KeywordConfig, lookup
 from .entities import entity_hits
 from .keyphrases import keyphrase_hits
@@ -25,9 +25,9 @@ def to_documents(news: DataFrame, max_text_chars: int | None = None) -> DataFram
         "noticia_hash",
         month_start(F.col("fecha_publicacion")).alias("month_start"),
         F.col("fuente").alias("source_media"),
-        build_document(F.col("titulo"), F.col("texto_completo"), max_text_chars).alias("document"),
+        cleaned_document(F.col("titulo"), F.col("texto_completo"), max_text_chars).alias("document"),
     )
-    return article.withColumn("normalized_document", normalize_text(F.col("document")))
+    return article.withColumn("normalized_document", normalized_document(F.col("document")))
 
 
 def alias_lookup(documents: DataFrame, config: KeywordConfig) -> DataFrame:

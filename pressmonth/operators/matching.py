@@ -3,17 +3,19 @@
 Aliases are counted one by one and summed per entry, so overlapping aliases add up.  Two exact strategies
 share that contract:
 
-* ``inline`` (small dictionaries): every alias is a constant of the projection.  A substring test guards
-  the word-boundary count.  One narrow stage, no explode of the text, no join, no shuffle.
+* ``inline`` (small dictionaries): every alias is searched for in the texts of an Arrow batch, and the
+  characters around it tell whether it counts.  One narrow stage, no explode of the text, no join, no shuffle.
 * ``join`` (large dictionaries): the n-grams of each text are equi-joined with the alias table, so the cost
   does not grow with the dictionary.  The alias side is broadcast only if Spark finds it small enough.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import strings
 from ..sources.dictionary import KeywordConfig, lookup
 
 INLINE_LIMIT = 400  # aliases; beyond this the generated projection gets unwieldy
@@ -27,12 +29,36 @@ HIT = (
 )
 
 
-def alias_count(document: Column, normalized_alias: str) -> Column:
-    """Occurrences of one constant alias; the text is scanned with the regex only if it can match."""
-    pattern = rf"(?<!{WORD})\Q{normalized_alias}\E(?!{WORD})"
-    return F.when(
-        F.contains(document, F.lit(normalized_alias)), F.regexp_count(document, F.lit(pattern))
-    ).otherwise(0)
+def _is_word(char: str) -> bool:
+    return char.isalnum() or char == "_"
+
+
+def count_words(text: str, words: str) -> int:
+    """Occurrences of some words between word boundaries (a hyphen is one), leftmost first and without overlaps."""
+    n, at = 0, text.find(words)
+    while at >= 0:
+        end = at + len(words)
+        if (at and _is_word(text[at - 1])) or (end < len(text) and _is_word(text[end])):
+            end = at
+        else:
+            n += 1
+        at = text.find(words, max(end, at + 1))
+    return n
+
+
+def alias_occurrences(document: Column, names: list[list[str]]) -> Column:
+    """(at, n) of the lists of aliases, by their place, that a text mentions: how often, summed over a list's aliases."""
+
+    def count(texts: pa.Array) -> pa.Array:
+        counted = [
+            [(at, n) for at, aliases in enumerate(names) if (n := sum(count_words(text, a) for a in aliases))]
+            for text in strings(texts)
+        ]
+        return pa.array(
+            [[{"at": at, "n": n} for at, n in row] for row in counted], pa.list_(pa.struct({"at": pa.int32(), "n": pa.int64()}))
+        )
+
+    return F.arrow_udf(count, "array<struct<at:int,n:bigint>>")(document)
 
 
 def dictionary_hits(documents: DataFrame, config: KeywordConfig, strategy: str | None = None) -> DataFrame:
@@ -56,22 +82,18 @@ def dictionary_hits(documents: DataFrame, config: KeywordConfig, strategy: str |
 
 
 def _inline(documents: DataFrame, entries: list[dict]) -> DataFrame:
-    document = F.col("normalized_document")
-    if not entries:
-        entries = [{"position": 0, "canonical": "", "normalized": "", "keyword_type": "", "priority": 0,
-                    "normalized_aliases": []}]
-    counts = F.array(*[
-        F.struct(
-            F.lit(e["position"]).alias("position"),
-            F.lit(e["canonical"]).alias("canonical"),
-            F.lit(e["normalized"]).alias("normalized"),
-            F.lit(e["keyword_type"]).alias("keyword_type"),
-            F.lit(e["priority"]).alias("priority"),
-            sum((alias_count(document, a) for a in e["normalized_aliases"]), F.lit(0)).alias("occurrences"),
-        )
+    described = F.array(*[
+        F.struct(*[F.lit(e[name]).alias(name) for name in ("position", "canonical", "normalized", "keyword_type", "priority")])
         for e in entries
     ])
-    return documents.select(*ARTICLE, F.inline(F.filter(counts, lambda e: e["occurrences"] > 0)))
+    if not entries:
+        described = F.expr("cast(array() as array<struct<position:int,canonical:string,normalized:string,keyword_type:string,priority:int>>)")
+    # The function stands within inline, so that Spark does not call it a second time to leave out texts without a hit.
+    found = documents.select(
+        *ARTICLE, F.inline(alias_occurrences(F.col("normalized_document"), [e["normalized_aliases"] for e in entries]))
+    )
+    entry = F.get(described, F.col("at"))
+    return found.select(*ARTICLE, entry.alias("e"), F.col("n").alias("occurrences")).select(*ARTICLE, "e.*", "occurrences")
 
 
 def _ngram_join(documents: DataFrame, entries: list[dict]) -> DataFrame:
@@ -138,8 +160,9 @@ def _tokens(alias: str) -> list[str]:
 
 def alias_counts(documents: DataFrame, aliases: list[str]) -> DataFrame:
     """Occurrences per article and alias, zero included (the scalar matcher on its own)."""
-    document = F.col("normalized_document")
-    counts = F.array(*[
-        F.struct(F.lit(a).alias("normalized_alias"), alias_count(document, a).alias("occurrences")) for a in aliases
-    ])
-    return documents.select("raw_noticia_id", F.inline(counts))
+    found = alias_occurrences(F.col("normalized_document"), [[a] for a in aliases])
+    counted = documents.select("raw_noticia_id", F.map_from_entries(found).alias("found"))
+    names = F.posexplode(F.array(*map(F.lit, aliases))).alias("at", "normalized_alias")
+    return counted.select("raw_noticia_id", "found", names).select(
+        "raw_noticia_id", "normalized_alias", F.coalesce(F.col("found")[F.col("at")], F.lit(0)).cast("int").alias("occurrences")
+    )
