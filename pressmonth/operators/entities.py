@@ -28,7 +28,7 @@ _folded = lru_cache(maxsize=100_000)(fold_label)
 
 def _count(mentions: pa.Array) -> pa.Array:
     """The mentions of each article by their normalised form, labelled MISC: how many, the first and the last."""
-    texts, at = strings(mentions.flatten()), 0
+    texts, at = list(strings(mentions.flatten())), 0
     ends, forms, spelled, n, first, last = [0], [], [], [], [], []
     for length in pc.list_value_length(mentions).fill_null(0).to_pylist():
         known: dict[str, int] = {}

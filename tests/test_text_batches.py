@@ -81,3 +81,9 @@ def test_texts_are_read_once_by_each_step(spark):
 def test_only_distinct_mentions_become_rows(spark):
     text_ = plan(catalog.QUERIES["entity_hits"](spark, SF))
     assert "posexplode" not in text_
+
+
+def test_texts_are_decoded_some_at_a_time():
+    values = [None, "", "ñ", "abc"] * 300
+    read = text.strings(pa.array(["x", *values])[1:])
+    assert iter(read) is read and list(read) == [v or "" for v in values]
