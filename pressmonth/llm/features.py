@@ -135,18 +135,19 @@ def shuffled(ids: list) -> list[int]:
 def collected(features: DataFrame, key: str, flag: str) -> tuple[list, np.ndarray, Sample]:
     """(ids, flags, features) of the rows of a bounded sample, shuffled; parts become compact arrays as they come."""
     features = staged(features)
-    ids, flags, rows = [], [], []
+    ids, flags, parts = [], [], []
     for part in range(PARTS):
         table = features.where(F.pmod(F.xxhash64(key), F.lit(PARTS)) == part).toArrow()
         for batch in table.to_batches():
             ids += batch.column(key).to_pylist()
             flags += batch.column(flag).to_pylist()
-            ends = np.append(0, np.cumsum(batch.column("buckets").value_lengths().to_numpy(zero_copy_only=False)))
+            lengths = batch.column("buckets").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             buckets = batch.column("buckets").flatten().to_numpy().astype(np.uint16)  # KINDS x BUCKETS fit
-            shares = batch.column("shares").flatten().to_numpy()
-            rows += [(buckets[lo:hi], shares[lo:hi].copy()) for lo, hi in zip(ends[:-1], ends[1:])]
+            parts.append((lengths, buckets, batch.column("shares").flatten().to_numpy().copy()))
+        table = batch = None
+        pa.default_memory_pool().release_unused()
     order = shuffled(ids)
-    sample = Sample.of([rows[i] for i in order])
+    sample = Sample.of(parts, order)
     return [ids[i] for i in order], np.array([flags[i] for i in order]), sample
 
 
@@ -160,13 +161,37 @@ class Sample:
     scale: np.ndarray  # by bucket: shares vary as the square root of their mean
 
     @classmethod
-    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]]) -> Sample:
-        buckets = np.concatenate([np.zeros(0, np.uint16), *(b for b, _ in rows)])
-        shares = np.concatenate([np.zeros(0, np.float32), *(s for _, s in rows)])
-        mean = np.bincount(buckets, shares, len(KINDS) * BUCKETS) / max(len(rows), 1)
-        scale = (1 / np.sqrt(mean + 1e-4)).astype(np.float32)
-        shares *= scale[buckets]
-        return cls(buckets, shares, np.append(0, np.cumsum([len(b) for b, _ in rows])).astype(np.int64), scale)
+    def of(cls, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], order: list[int]) -> Sample:
+        """From (entries of each row, buckets, shares) of some rows at a time, the rows in another order.
+
+        ``parts`` is emptied, each part as it is copied, and no other array is as long as the entries."""
+        lengths = np.concatenate([np.zeros(0, np.int64), *(n for n, _, _ in parts)])
+        first = np.append(0, np.cumsum(lengths[order])).astype(np.int64)
+        start = np.empty(len(order), np.int64)
+        start[order] = first[:-1]
+        buckets, shares = np.empty(first[-1], np.uint16), np.empty(first[-1], np.float32)
+        row = 0
+        while parts:
+            sizes, own_buckets, own_shares = parts.pop(0)
+            done = 0
+            for size, at in zip(sizes.tolist(), start[row : row + len(sizes)].tolist()):
+                buckets[at : at + size] = own_buckets[done : done + size]
+                shares[at : at + size] = own_shares[done : done + size]
+                done += size
+            row += len(sizes)
+        sample = cls(buckets, shares, first, np.ones(len(KINDS) * BUCKETS, np.float32))
+        total = np.zeros(len(sample.scale))
+        for own in sample.runs():
+            np.add.at(total, own.buckets, own.shares.astype(np.float64))
+        sample.scale = (1 / np.sqrt(total / max(len(sample), 1) + 1e-4)).astype(np.float32)
+        for own in sample.runs():
+            np.multiply(own.shares, sample.scale[own.buckets], out=own.shares)  # a view of the sample's
+        return sample
+
+    def runs(self) -> Iterator[Sample]:
+        """The rows in runs of RUN_ROWS: what is made for each entry lasts for a run only."""
+        for start in range(0, len(self), RUN_ROWS):
+            yield self.rows(start, min(start + RUN_ROWS, len(self)))
 
     def __len__(self) -> int:
         return len(self.first) - 1
@@ -180,10 +205,18 @@ class Sample:
         return np.repeat(np.arange(len(self)), np.diff(self.first))
 
     def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
-        return np.bincount(self.row, self.shares * weights[self.buckets], len(self)) + bias
+        found = [np.bincount(own.row, own.shares * weights[own.buckets], len(own)) for own in self.runs()]
+        return np.concatenate([np.zeros(0), *found]) + bias
 
     def gradient(self, by_row: np.ndarray) -> np.ndarray:
-        return np.bincount(self.buckets, self.shares * by_row[self.row], len(KINDS) * BUCKETS)
+        total, done = np.zeros(len(KINDS) * BUCKETS), 0
+        if len(self) < 2 * RUN_ROWS:
+            return np.bincount(self.buckets, self.shares * by_row[self.row], len(total))
+        for own in self.runs():
+            # entry after entry, so the sums do not depend on the runs
+            np.add.at(total, own.buckets, own.shares * by_row[done + own.row])
+            done += len(own)
+        return total
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
