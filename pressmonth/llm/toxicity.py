@@ -290,6 +290,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, sam
     at, weight, starts = at[entry], weight[entry], np.append(0, np.cumsum(sizes_of[order]))
     y = examples.column("y").to_numpy().astype(np.float64)[order]
     ids = examples.column(key).take(pa.array(order)).to_pylist()
+    del examples, found, counted, entry, order
+    pa.default_memory_pool().release_unused()  # the driver goes on to other jobs: what came to it as tables goes back
     mass = np.where(y > 0, sizes[1] / y.sum(), sizes[0] / max((1 - y).sum(), 1))
     mass /= mass.max()
     index = BlockMaxIndex.of(starts, at, weight, len(vocabulary))

@@ -3,7 +3,9 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
+from pressmonth.llm import toxicity
 from pressmonth.llm.features import BUCKETS, KINDS, RUN_ROWS, Sample
 
 SIZE = len(KINDS) * BUCKETS
@@ -57,3 +59,18 @@ def test_memory_beside_the_sample_does_not_follow_its_entries():
 def test_empty_sample():
     sample = Sample.of([], [])
     assert len(sample) == 0 and len(sample.scores(np.ones(SIZE), 0.0)) == 0 and not sample.gradient(np.zeros(0)).any()
+
+
+def test_toxicity_gives_back_what_came_to_the_driver(spark, monkeypatch):
+    released = []
+    pool = pa.default_memory_pool()
+
+    class Pool:
+        def release_unused(self):
+            released.append(pool.bytes_allocated())
+            pool.release_unused()
+
+    monkeypatch.setattr(toxicity.pa, "default_memory_pool", Pool)
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet") for name in ("documents", "labels"))
+    assert not isinstance(toxicity.fit(docs, labels, "toxic", "doc_id", "text"), float)
+    assert released and max(released) < 1 << 20  # no table is held any more when the rest goes back
