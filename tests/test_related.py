@@ -54,6 +54,19 @@ def test_a_prefix_is_a_part(spark):
     assert len(kept) == 30 and {r.articles for r in kept} == {100} and {r.article % 10 for r in kept} == {0, 1, 2}
 
 
+def test_pairs_that_meet_by_chance_are_no_candidates(spark):
+    """Common keywords meet in many articles; only pairs whose prefixes share enough are counted out."""
+    rng = random.Random(2)
+    sets = {f"w{i:02}": set(rng.sample(range(400), 80)) for i in range(40)}
+    sets["w00 again"] = {*sorted(sets["w00"])[:70], 401}
+    rows = [(MARCH, a, k) for k, articles in sets.items() for a in articles]
+    present = spark.createDataFrame(rows, "month_start date, article bigint, keyword string")
+    pairs = [(r.keyword, r.related) for r in related.candidate_links(related.prefixes(present)).collect()]
+    assert ("w00", "w00 again") in pairs and len(pairs) < 80  # of 780 that meet
+    links = related.keyword_links(present, related.keyword_classes(present)).collect()
+    assert [(r.keyword, r.related, r.shared) for r in links] == [("w00", "w00 again", 70)]
+
+
 def test_the_index_finds_close_neighbours(spark):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(40, 16))
