@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import dates, web
 from ..operators.aliases import with_alias
+from .lineage import computed_once
 
 TOP_SOURCES = 8
 TOP_NEWS = 30
@@ -133,9 +134,15 @@ def resolve_keyword(keyword_stats: DataFrame, query: str) -> DataFrame:
     )
 
 
+FEW_TEXTS = 100  # distinct ones that are looked for one by one
+
+
 def _cut(rows: DataFrame, column: str, others: DataFrame, other: str) -> DataFrame:
-    """Rows exploded into the distinct substrings of ``column``, named ``other``, as far as their length
-    occurs among the values of ``others``.  The set of lengths is one small array, whatever the rows."""
+    """Rows exploded into the distinct substrings of ``column``, named ``other``, that may occur among the values of
+    ``others``: those that do if these are few, else all whose length occurs.  The texts that are looked for are one
+    small array, and so is the set of lengths, whatever the rows."""
+    texts = others.select(other).distinct().limit(FEW_TEXTS + 1)
+    sought = texts.agg(F.collect_set(other).alias("t")).scalar()
     lengths = others.agg(F.sort_array(F.collect_set(F.length(other))).alias("n")).scalar()
 
     def of_length(n: Column) -> Column:
@@ -143,18 +150,21 @@ def _cut(rows: DataFrame, column: str, others: DataFrame, other: str) -> DataFra
         starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.substring(F.col(column), i + 1, n))
 
+    found = F.filter("_sought", lambda t: F.contains(F.col(column), t))
     cut = F.array_distinct(F.flatten(F.transform("_lengths", of_length)))
-    return rows.select("*", lengths.alias("_lengths")).withColumn(other, F.explode(cut)).drop("_lengths")
+    asked = rows.select("*", sought.alias("_sought"), lengths.alias("_lengths"))
+    return asked.withColumn(other, F.explode(F.when(F.size("_sought") <= FEW_TEXTS, found).otherwise(cut))).drop("_sought", "_lengths")
 
 
 def resolve_batch(keyword_stats: DataFrame, requests: DataFrame, fuzzy: bool = True) -> DataFrame:
     """Resolve many ``(month_start, query)`` requests: exact first, then by substring, then the query itself.
 
-    Containment is an equi-join: one side is cut into its substrings of the lengths that occur on the other
-    side, so only true matches meet and no pair is tested in vain.  A keyword inside the query is preferred
-    over a query inside the keyword, then come the counts and the keyword key.
+    Containment is an equi-join: one side is cut into its substrings that may occur on the other side, so only true
+    matches meet and no pair is tested in vain.  A keyword inside the query is preferred over a query inside the
+    keyword, then come the counts and the keyword key.  The requests are staged: their size is known, and the
+    keywords need not move to meet them if they are few.
     """
-    asked = requests.select("month_start", "query").distinct()
+    asked = computed_once(requests.select("month_start", "query").distinct())
     stats = keyword_stats.select(
         "month_start", F.coalesce("canonical_keyword", "keyword").alias("keyword"), "normalized_keyword",
         "normalized_canonical_keyword", "news_count", "total_occurrences",
