@@ -91,13 +91,15 @@ def entity_hits(
     """One hit per article and normalised mention: first spelling, last label, number of mentions."""
     if load_annotator is None:
         # Only distinct mentions become rows; they hold letters, digits and single spaces, and are clean already.
-        named = documents.select(*ARTICLE, F.inline(capitalised_mentions(F.col("document"))))
+        # An article moves as one row; inline_outer, for which Spark does not count a second time to leave out empty lists.
+        listed = documents.select(*ARTICLE, capitalised_mentions(F.col("document")).alias("mentions")).repartition(ARTICLE[0])
+        named = listed.select(*ARTICLE, F.inline_outer("mentions"))
     else:
         named = annotated_mentions(documents, load_annotator).filter(F.col("label").isin(*ENTITY_LABELS)).select(
             *ARTICLE, normalize_text(F.col("text")).alias("normalized"), F.lit(1).cast("bigint").alias("n"),
             F.struct("at", clean_text(F.col("text")).alias("text")).alias("first"), F.struct("at", "label").alias("last"),
         )
-    counted = named.filter(F.length("normalized") >= min_chars).groupBy(*ARTICLE, "normalized").agg(
+    counted = named.filter(F.length("normalized") >= min_chars).groupBy(ARTICLE[0], "normalized", *ARTICLE[1:]).agg(
         F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")
     )
     return counted.select(

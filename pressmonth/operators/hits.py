@@ -67,8 +67,9 @@ def merge_hits(hits: DataFrame) -> DataFrame:
     """One hit per article, keyword and extractor.
 
     First spelling, first non-empty canonical form and type (by ``hit_order``), best score, summed occurrences.
+    The keyword follows the article's id in the order of the keys: the article's other columns tell nothing apart.
     """
-    return hits.groupBy(*ARTICLE, "normalized_keyword", "extractor_source").agg(
+    return hits.groupBy(ARTICLE[0], "normalized_keyword", "extractor_source", *ARTICLE[1:]).agg(
         F.min(F.struct("hit_order", "keyword"))["keyword"].alias("keyword"),
         _first_filled("canonical_keyword"),
         _first_filled("normalized_canonical_keyword"),
@@ -98,9 +99,12 @@ def extracted_hits(
     load_annotator: Callable | None = None,
     max_keyphrases: int = 12,
 ) -> DataFrame:
-    """Bag union of the extractors' hits; ``hit_order`` keeps the order within each of them."""
+    """Bag union of the extractors' hits; ``hit_order`` keeps the order within each of them.
+
+    All of them are dealt out by article, so that what is done for each article next need not move them again.
+    """
     makers = {
-        "dictionary": lambda: dictionary_hits(documents, config),
+        "dictionary": lambda: dictionary_hits(documents, config).repartition(ARTICLE[0]),
         "entities": lambda: entity_hits(documents, load_annotator),
         "keyphrases": lambda: keyphrase_hits(documents, max_keyphrases),
     }

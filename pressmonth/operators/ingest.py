@@ -64,9 +64,12 @@ def rejected_batch(batch: DataFrame) -> DataFrame:
     return batch.filter(F.col("fuente").isNull())
 
 
-def news_upsert(stored: DataFrame, batch: DataFrame, now: dt.datetime) -> DataFrame:
-    """Stored articles after the batch.  An article that was stored before keeps its surrogate id."""
-    prepared = prepare_batch(batch, now)
+def news_upsert(stored: DataFrame, batch: DataFrame, now: dt.datetime, is_prepared: bool = False) -> DataFrame:
+    """Stored articles after the batch.  An article that was stored before keeps its surrogate id.
+
+    What :func:`prepare_batch` has returned (``is_prepared``) is not prepared a second time, which would move all texts.
+    """
+    prepared = batch if is_prepared else prepare_batch(batch, now)
     known = stored.select("noticia_hash", F.col("id").alias("known_id"))
     numbered = prepared.join(known, "noticia_hash", "left").withColumn("id", F.coalesce("known_id", "id"))
     if "month_start" in stored.columns:

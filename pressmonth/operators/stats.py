@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.dates import month_start
+from ..schemas import EXTRACTORS
 
 SOURCE_TOP = 10
 MONTH_TOP = 20
@@ -30,16 +31,28 @@ def _average(total: Column, count: Column) -> Column:
     return F.try_divide(total, count).cast("decimal(12,6)").alias("avg_score")
 
 
+def _counted_once(hits: DataFrame) -> DataFrame:
+    """``hits`` with ``first``, true for one of the hits that an article has of a keyword: what is left of a distinct
+    count is a sum.  Articles are dealt out before they meet at a keyword; rows keep their order for the next step, and
+    the order begins with the keyword, which tells rows apart sooner than their month does.
+    """
+    own = Window.partitionBy("normalized_keyword", "month_start", "source_media", "raw_noticia_id").orderBy("extractor_source")
+    return hits.withColumn("first", (F.row_number().over(own) == 1) & F.col("raw_noticia_id").isNotNull())
+
+
 def source_keyword_stats(hits: DataFrame) -> DataFrame:
     """Per month, source and keyword: names, distinct articles, occurrences, average score."""
-    return hits.groupBy("month_start", "source_media", "normalized_keyword").agg(
+    return _counted_once(hits).groupBy("normalized_keyword", "month_start", "source_media").agg(
         F.coalesce(F.max("canonical_keyword"), F.min("keyword")).alias("keyword"),
         F.max("canonical_keyword").alias("canonical_keyword"),
         F.max("normalized_canonical_keyword").alias("normalized_canonical_keyword"),
         F.max("keyword_type").alias("keyword_type"),
-        F.count_distinct("raw_noticia_id").cast("int").alias("news_count"),
+        F.count_if("first").cast("int").alias("news_count"),
         F.sum("occurrences").cast("int").alias("total_occurrences"),
         _average(F.sum("score"), F.count("score")),
+    ).select(
+        "month_start", "source_media", "normalized_keyword", "keyword", "canonical_keyword",
+        "normalized_canonical_keyword", "keyword_type", "news_count", "total_occurrences", "avg_score",
     )
 
 
@@ -55,45 +68,55 @@ def monthly_keyword_stats(hits: DataFrame, dictionary: DataFrame) -> DataFrame:
 
     Two levels: first per source (distinct articles are counted there, spread over all sources of a hot
     keyword), then per keyword.  An article has one source, so its distinct counts add up.  A disabled
-    dictionary entry still lends its priority.
+    dictionary entry still lends its priority.  The known extractors are gathered as bits, not as a set for
+    every row; any other makes a row of its own, which the second level adds to its source.
     """
     priorities = dictionary.select(F.col("normalized_keyword").alias("priority_key"), "priority")
     key = F.coalesce("normalized_canonical_keyword", "normalized_keyword")
+    bit = F.coalesce(*[F.when(F.col("extractor_source") == e, F.lit(1 << i)) for i, e in enumerate(EXTRACTORS)], F.lit(0))
+    other = F.when(~F.col("extractor_source").isin(*EXTRACTORS), F.col("extractor_source"))
     per_source = (
-        hits.join(priorities, key == F.col("priority_key"), "left")
-        .groupBy("month_start", "normalized_keyword", "source_media")
+        _counted_once(hits.join(priorities, key == F.col("priority_key"), "left"))
+        .groupBy("normalized_keyword", "month_start", "source_media", other.alias("other"))
         .agg(
             F.min("keyword").alias("keyword"),
             F.max("canonical_keyword").alias("canonical_keyword"),
             F.max("normalized_canonical_keyword").alias("normalized_canonical_keyword"),
             F.max("keyword_type").alias("keyword_type"),
-            F.collect_set("extractor_source").alias("extractors"),
-            F.count_distinct("raw_noticia_id").cast("int").alias("news_count"),
+            F.bit_or(bit).alias("bits"),
+            F.count_if("first").cast("int").alias("news_count"),
             F.sum("occurrences").alias("occurrences"),
             F.sum("score").alias("score_sum"),
             F.count("score").alias("score_count"),
             F.max("priority").alias("priority"),
         )
     )
-    per_keyword = per_source.groupBy("month_start", "normalized_keyword").agg(
+    per_keyword = per_source.groupBy("normalized_keyword", "month_start").agg(
         F.min("keyword").alias("keyword"),
         F.max("canonical_keyword").alias("canonical_keyword"),
         F.max("normalized_canonical_keyword").alias("normalized_canonical_keyword"),
         F.max("keyword_type").alias("keyword_type"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("extractors")))).alias("extractor_sources"),
+        F.bit_or("bits").alias("bits"),
+        F.collect_set("other").alias("others"),
         F.sum("news_count").cast("int").alias("news_count"),
         F.sum("occurrences").cast("int").alias("total_occurrences"),
         _average(F.sum("score_sum"), F.sum("score_count")),
-        F.count(F.lit(1)).cast("int").alias("source_media_count"),
-        F.map_from_entries(F.collect_list(
-            F.when(F.col("source_media").isNotNull(), F.struct("source_media", "news_count"))
-        )).alias("source_media_stats"),
+        F.collect_list(F.struct("source_media", "news_count")).alias("by_source"),
         F.coalesce(F.max("priority"), F.lit(0)).alias("priority"),
     )
-    return per_keyword.select(
+    known = [F.when(F.col("bits").bitwiseAND(1 << i) != 0, F.lit(e)) for i, e in enumerate(EXTRACTORS)]
+    # a source has one row, or several where an extractor is not a known one
+    summed = F.transform(F.array_distinct(F.col("by_source.source_media")), lambda s: F.struct(
+        s.alias("source_media"),
+        F.reduce(F.filter("by_source", lambda r: r["source_media"].eqNullSafe(s)), F.lit(0), lambda n, r: n + r["news_count"]).alias("news_count"),
+    ))
+    each = F.when(F.size("others") == 0, F.col("by_source")).otherwise(summed)
+    return per_keyword.withColumn("by_source", each).select(
         "month_start", "keyword", "normalized_keyword", "canonical_keyword", "normalized_canonical_keyword",
-        "keyword_type", "extractor_sources", "news_count", "total_occurrences", "avg_score",
-        "source_media_count", "source_media_stats", "priority",
+        "keyword_type", F.sort_array(F.concat(F.array_compact(F.array(*known)), "others")).alias("extractor_sources"),
+        "news_count", "total_occurrences", "avg_score", F.size("by_source").alias("source_media_count"),
+        F.map_from_entries(F.filter("by_source", lambda r: r["source_media"].isNotNull())).alias("source_media_stats"),
+        "priority",
     )
 
 

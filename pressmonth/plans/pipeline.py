@@ -98,7 +98,8 @@ def run_sync(
             # before the articles move, so that a run that dies in between is made up for by the next one
             if gone["dated"]:
                 _reopen(store, left.filter("month_start IS NOT NULL"), run.run_id, now)
-            store.replace_months("raw_news", ingest.news_upsert(stored.filter(in_months(months)), staged, now), months)
+            rows = ingest.news_upsert(stored.filter(in_months(months)), staged, now, is_prepared=True)
+            store.replace_months("raw_news", rows, months)
     return run.rows_detected
 
 

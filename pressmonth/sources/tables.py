@@ -51,8 +51,13 @@ class TableStore:
 
     # -- reading --
 
+    def _empty(self, name: str) -> DataFrame:
+        """No rows, and known to have none: what is joined to them is dropped from a plan or left where it is."""
+        columns = self.spark.createDataFrame([], TABLES[name]).schema
+        return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in columns]).filter(F.lit(False))
+
     def read(self, name: str) -> DataFrame:
-        empty = self.spark.createDataFrame([], TABLES[name])
+        empty = self._empty(name)
         if name in MONTHLY_TABLES:
             path = f"{self.root}/{name}"
             if not any(c.startswith("month_start=") for c in self._children(path)):
