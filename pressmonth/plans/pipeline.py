@@ -199,6 +199,7 @@ def run_extract(
         news = selected(months)
         documents = store.stage(run.run_id, "documents", documents_of(news))  # all extractors read the cleaned texts
         hits, found = store.stage_measured(run.run_id, "hits", hits_of(documents), written=F.count(F.lit(1)))
+        store.drop_stage(run.run_id, "documents")  # the largest of them, ahead of the tables' writes
         per_article = hits.groupBy(F.col("raw_noticia_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
         markers, marked = store.stage_measured(run.run_id, "markers", news.select("id", "month_start").join(per_article, "id", "left").select(
             F.col("id").alias("raw_noticia_id"), "month_start", F.lit("completed").alias("status"),

@@ -117,8 +117,9 @@ class TableStore:
         seen = observation.get
         return staged, {n: int(seen.get(n) or 0) for n in metrics}
 
-    def drop_stage(self, run_id: str) -> None:
-        self._delete(f"{self.root}/_staging/{run_id}")
+    def drop_stage(self, run_id: str, name: str | None = None) -> None:
+        """Delete one staged result of a run that is no longer read, or all of them."""
+        self._delete(f"{self.root}/_staging/{run_id}" + (f"/{name}" if name else ""))
 
     def _shape(self, name: str, rows: DataFrame) -> DataFrame:
         target = self.spark.createDataFrame([], TABLES[name]).schema

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from pressmonth.plans import reports
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def topics(spark, rows, months=1):
     table = spark.createDataFrame([(f"w{i} abc", f"w{i} abc", None, None, i % 7, i) for i in range(rows)], (
         "keyword string, normalized_keyword string, canonical_keyword string, normalized_canonical_keyword string, "
